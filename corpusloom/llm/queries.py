@@ -53,7 +53,7 @@ def _sampling(spark: SparkSession, sf_dir: str):
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.balance_report(*_sampling(spark, sf_dir)).where("not met").select(F.col("category").alias("lang"))
+    return sampling.balance_report(*_sampling(spark, sf_dir)).where("short").select(F.col("category").alias("lang"))
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def allocate(counts: dict[str, int], targets: list[tuple[str, float, int]], tota
             r["size"] -= cut[r["category"]] + extra
             done += extra
     for r in rows:
-        r["met"] = r["available"] >= r["wanted"]
+        r["short"] = r["available"] < r["wanted"]
     return rows
 
 
@@ -145,16 +145,17 @@ def balanced_sample(df: DataFrame, id_col: str, category: Column, targets: DataF
 
 
 def balance_report(df: DataFrame, id_col: str, category: Column, targets: DataFrame, fraction: int = FRACTION, seed: int = 7) -> DataFrame:
-    """Per target category `category, available, wanted, sampled, share, actual_share, residual, met`, counted on
-    the sample itself; `met` is false where the records didn't suffice."""
+    """Per target category `category, available, wanted, sampled, share, actual_share, residual, short`, counted on
+    the sample itself; `short` where the category's records don't suffice for what it wants, `residual` is what the
+    sample has more than was allocated."""
     spark = df.sparkSession
     rows = plan(df, category, targets, fraction)
     sizes = {r["category"]: (r["size"], r["available"]) for r in rows}
-    schema = "category string, available long, wanted long, share double, size long, met boolean"
-    goals = spark.createDataFrame([(r["category"], r["available"], r["wanted"], float(r["share"]), r["size"], r["met"]) for r in rows], schema)
+    schema = "category string, available long, wanted long, share double, size long, short boolean"
+    goals = spark.createDataFrame([(r["category"], r["available"], r["wanted"], float(r["share"]), r["size"], r["short"]) for r in rows], schema)
     drawn = cube_sample(df, id_col, category, sizes, seed).groupBy("category").agg(F.count("*").alias("n"))
     total = max(1, sum(r["size"] for r in rows))
     sampled = F.coalesce("n", F.lit(0))
     return goals.join(drawn, "category", "left").select(
-        "category", "available", "wanted", sampled.alias("sampled"), "share", (sampled / F.lit(total)).alias("actual_share"), (sampled - F.col("size")).alias("residual"), ((sampled >= F.col("wanted")) & F.col("met")).alias("met")
+        "category", "available", "wanted", sampled.alias("sampled"), "share", (sampled / F.lit(total)).alias("actual_share"), (sampled - F.col("size")).alias("residual"), "short"
     )
