@@ -99,5 +99,5 @@ def per_key_profile(df: DataFrame, key: Column, text: Column, source: Column, un
 def heavy_keys(profile: DataFrame, share: float) -> DataFrame:
     """Keys of a profile, NULL aside, that hold at least `share` of the rows with a key."""
     known = profile.where("key is not null").select("key", "n_rows")
-    total = known.agg(F.sum("n_rows").alias("total"))
-    return known.join(F.broadcast(total)).where(F.col("n_rows") >= F.lit(share) * F.col("total")).select("key", "n_rows")
+    total = known.agg(F.sum("n_rows")).first()[0] or 0
+    return known.where(F.col("n_rows") >= F.lit(share) * F.lit(total)).select("key", "n_rows")
