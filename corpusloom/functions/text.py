@@ -147,9 +147,19 @@ def _digit_class() -> str:
     return r"[\p{Nd}" + "".join(rf"\x{{{ord(c):x}}}" for c in digit_table()[0] if unicodedata.category(c) != "Nd") + "]"
 
 
+def _without_digits(c: Column) -> Column:
+    # a hash lookup per character; a class of hundreds of single characters would be tried one by one
+    return F.translate(c, digit_table()[0] + "0123456789", "")
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def digit_ratio(c: Column) -> Column:
     """Share of characters that are digits; 0 for the empty text."""
-    return F.regexp_count(c, F.lit(_digit_class())) / F.greatest(F.length(c), F.lit(1))
+    return (F.length(c) - F.length(_without_digits(c))) / F.greatest(F.length(c), F.lit(1))
 
 
 def has_diacritics(c: Column) -> Column:
@@ -167,8 +177,8 @@ def len_bucket(c: Column, word_short: int = 8, word_long: int = 20, char_short:
     return F.when(c.isNull(), None).when((n <= word_short) | (m <= char_short), "SHORT").when((n >= word_long) & (m >= char_long), "LONG").otherwise("MEDIUM")
 
 
-def digit_bucket(r: Column, low: float = 0.05, med: float = 0.20) -> Column:
-    return F.when(r.isNull(), None).when(r <= 0, "NONE").when(r < low, "LOW").when(r < med, "MED").otherwise("HIGH")
+def digit_bucket(ratio: Column, low: float = 0.05, med: float = 0.20) -> Column:
+    return let(ratio, lambda r: F.when(r.isNull(), None).when(r <= 0, "NONE").when(r < low, "LOW").when(r < med, "MED").otherwise("HIGH"))
 
 
 #: Blocks that name a script, in alphabetical order of the names.
@@ -194,10 +204,12 @@ def block_class(name: str) -> str:
 def block_script(c: Column) -> Column:
     """Most frequent of the blocks' scripts among characters that are no digits, blanks, punctuation, symbols or
     controls; the alphabetically first of equals; `Other` if there is none."""
-    bare = F.regexp_replace(c, rf"{_digit_class()[:-1]}\p{{P}}\p{{S}}\p{{C}}\s\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]", "")
-    counts = F.array(*[F.struct(F.regexp_count(bare, F.lit(block_class(name))).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, name in enumerate(BLOCKS)])
-    best = F.array_max(counts)
-    return F.when(c.isNull(), None).when(best["n"] == 0, "Other").otherwise(best["name"])
+    bare = F.regexp_replace(_without_digits(c), r"[\p{P}\p{S}\p{C}\s\x{1c}-\x{1f}\x{85}\p{Z}]+", "")
+
+    def best(b: Column) -> Column:
+        return F.array_max(F.array(*[F.struct(F.regexp_count(b, F.lit(block_class(name))).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, name in enumerate(BLOCKS)]))
+
+    return F.when(c.isNull(), None).otherwise(let(let(bare, best), lambda x: F.when(x["n"] == 0, "Other").otherwise(x["name"])))
 
 
 def meta_tokens(c: Column, script: bool = True, length: bool = True, digits: bool = True) -> Column:

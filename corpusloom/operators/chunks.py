@@ -15,7 +15,7 @@ def split_text(text: str | None, limit: int) -> list[str | None]:
 
     Both sides of a cut are stripped. NULL and '' are their own single piece; a remainder without characters is left
     out, but a text of blanks gives one empty piece."""
-    if not text:
+    if not text or not limit:
         return [text]
     out, at, end = [], 0, len(text)
     while end - at > limit:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
@@ -86,12 +88,23 @@ def quantise(df: DataFrame, vector: str, dim: int, dsub: int = 4, codes: int = 2
     if dim % dsub:
         dsub = 1
     whole = df.withColumn("_v", F.when(F.size(vector) == dim, F.col(vector).cast("array<double>")))
-    centres, parts = [], []
+    centres = []
     for k in range(dim // dsub):
         piece = array_to_vector(F.slice("_v", k * dsub + 1, dsub)).alias("features")
         fitted = KMeans(k=codes, seed=seed + k, maxIter=10).fit(whole.where("_v is not null").select(piece))
-        c = [[float(x) for x in row] for row in fitted.clusterCenters()]
-        centres.append(c)
-        distance = lambda row, k=k: sum(((F.col("_v")[k * dsub + j] - F.lit(row[j])) ** 2 for j in range(dsub)), F.lit(0.0))
-        parts.append(F.array_min(F.array(*[F.struct(distance(row).alias("d"), F.lit(i).alias("i")) for i, row in enumerate(c)]))["i"])
-    return whole.withColumn("codes", F.when(F.col("_v").isNotNull(), F.array(*parts))).drop("_v"), centres
+        centres.append([[float(x) for x in row] for row in fitted.clusterCenters()])
+    # centres are as large as the parameters say, whatever the input
+    shared = df.sparkSession.sparkContext.broadcast(centres)
+
+    @F.pandas_udf("array<int>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        full = vectors.notna().to_numpy()
+        out: list = [None] * len(vectors)
+        if full.any():
+            v = np.stack(vectors[full].to_numpy())
+            parts = [((v[:, None, k * dsub : (k + 1) * dsub] - np.array(c)[None]) ** 2).sum(2).argmin(1) for k, c in enumerate(shared.value)]
+            for i, row in zip(np.nonzero(full)[0], np.stack(parts, 1).tolist()):
+                out[i] = row
+        return pd.Series(out, dtype=object)
+
+    return whole.withColumn("codes", nearest("_v")).drop("_v"), centres

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import rand_int, words
+from ..functions.text import let, rand_int, words
 
 
 def word_snippets(text: Column, key: Column, n: int = 8, low: int = 3, high: int = 8, seed: int = 42) -> Column:
     """`n` spans of `low` to `high` words; shorter texts give all their words, wordless and NULL ones nothing."""
-    ws = words(text)
-    size = F.size(ws)
+    none = F.array().cast("array<string>")
 
-    def one(i: Column) -> Column:
-        length = rand_int(seed, F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), size)), key, F.lit("wl"), i)
-        start = F.when(size <= length, 0).otherwise(rand_int(seed, F.lit(0), F.greatest(size - length, F.lit(0)), key, F.lit("ws"), i))
-        return F.array_join(F.slice(ws, start + 1, length), " ")
+    def spans(ws: Column) -> Column:
+        size = F.size(ws)
 
-    none = F.array().cast("array<string>")
-    return none if n <= 0 else F.when(size > 0, F.transform(F.sequence(F.lit(1), F.lit(n)), one)).otherwise(none)
+        def one(i: Column) -> Column:
+            length = rand_int(seed, F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), size)), key, F.lit("wl"), i)
+            start = F.when(size <= length, 0).otherwise(rand_int(seed, F.lit(0), F.greatest(size - length, F.lit(0)), key, F.lit("ws"), i))
+            return F.array_join(F.slice(ws, start + 1, length), " ")
+
+        return F.when(size > 0, F.transform(F.sequence(F.lit(1), F.lit(n)), one)).otherwise(none)
+
+    return none if n <= 0 else let(words(text), spans)
 
 
 def char_snippets(text: Column, key: Column, n: int = 4, low: int = 20, high: int = 60, seed: int = 42) -> Column:

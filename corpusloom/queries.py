@@ -222,7 +222,7 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir).select("rec_id", "evaluated_at", "gold", "pred", "prob")
+    return _predictions(spark, sf_dir).select("rec_id", F.unix_micros("evaluated_at").alias("evaluated_us"), "gold", "pred", "prob")
 
 
 def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,7 +341,7 @@ _READ = "coalesce((SELECT f.lang FROM forms f WHERE f.form = lower(trim(s.lang))
 _READS = f"{_FORMS}, labelled AS (SELECT row_id, {_READ} AS lang, region_code, text, source FROM shards s)"
 # lower case with the dot above of a dotted capital I kept and a final sigma, as Unicode has them
 def _lower(x: str) -> str:
-    return rf"regexp_replace(lower(replace({x}, 'İ', 'i' || chr(775))), '(\p{{L}}\p{{M}}*)σ([^\p{{L}}\p{{M}}]|$)', '\1ς\2', 'g')"
+    return rf"lower(regexp_replace(replace({x}, 'İ', 'i' || chr(775)), '(\p{{L}}\p{{M}}*)Σ([^\p{{L}}\p{{M}}]|$)', '\1ς\2', 'g'))"
 
 
 def _strip(x: str) -> str:
@@ -410,7 +410,7 @@ signed AS (SELECT s.row_id, coalesce(s.lang, '') AS grp, coalesce(CASE WHEN hi >
 _PAIRS = f"""{_SIG}, firsts AS (SELECT grp, sig, min(row_id) AS row_id FROM signed GROUP BY grp, sig),
 links AS (SELECT a.row_id AS x, b.row_id AS y FROM firsts a JOIN firsts b ON a.grp = b.grp AND a.row_id < b.row_id AND bit_count(xor(a.sig, b.sig)) <= 3)"""
 
-_GOLD = f"list_filter(tokens, lambda t: starts_with(t, '__label__'))[1]"
+_GOLD = "list_filter(tokens, lambda t: starts_with(t, '__label__'))[1]"
 _TOKENS = f"list_filter(regexp_split_to_array(line_text, '{_B}+'), lambda w: w <> '')"
 _LATEST = "latest AS (SELECT rec_id, r.* FROM (SELECT rec_id, max(struct_pack(evaluated_at, script, gold, pred, prob, text)) AS r FROM predictions GROUP BY rec_id))"
 
@@ -485,6 +485,12 @@ walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL
   SELECT s.k, CASE WHEN b.xs IS NOT NULL AND list_has_any(b.xs, w.kept) THEN w.kept ELSE list_append(w.kept, s.id) END FROM walk w JOIN seq s ON s.k = w.k + 1 LEFT JOIN before b ON b.id = s.id),
 kept AS (SELECT unnest(kept) AS id FROM walk WHERE k = (SELECT max(k) FROM seq))
 SELECT row_id FROM firsts WHERE row_id NOT IN (SELECT id FROM nodes) OR row_id IN (SELECT id FROM kept)""",
+        "split_long_entries": f"""
+WITH RECURSIVE m AS (SELECT CASE WHEN trunc(avg(length(text))) > 0 THEN trunc(avg(length(text)))::INT ELSE 100 END AS n FROM shards),
+walk AS (SELECT row_id, -1 AS piece, NULL::VARCHAR AS chunk, text AS rest, false AS done FROM shards UNION ALL
+  SELECT row_id, piece + 1, CASE WHEN long THEN {_strip('substr(rest, 1, cut)')} ELSE rest END, CASE WHEN long THEN {_strip('substr(rest, cut + 1)')} END, NOT long OR {_strip('substr(rest, cut + 1)')} = ''
+  FROM (SELECT row_id, piece, rest, length(rest) > m.n AS long, CASE WHEN regexp_matches(substr(rest, 1, m.n), ' ') THEN length(regexp_extract(substr(rest, 1, m.n), '(?s)^(.*) ', 1)) ELSE m.n END AS cut FROM walk, m WHERE NOT done))
+SELECT row_id, piece, chunk AS text FROM walk WHERE piece >= 0""",
         "stratified_split": f"WITH {_SPLIT} SELECT row_id, lang, split FROM splits",
         "split_stats": f"WITH {_SPLIT} SELECT split, count(*) AS n_rows, count(DISTINCT lang) AS n_labels FROM splits GROUP BY split",
         "split_label_summary": f"""
@@ -528,7 +534,7 @@ SELECT value, count(*) AS n FROM (SELECT line_text AS value FROM training_lines
         "langid_accuracy": f"WITH {_LATEST}, a AS (SELECT count(*) AS n, coalesce(sum((gold = pred)::INT), 0) AS correct FROM latest) SELECT n, correct, round(correct / n, 6) AS accuracy, round(correct / n, 6) AS precision_at_1, round(correct / n, 6) AS recall_at_1 FROM a",
         "langid_per_label": f"WITH {_LATEST}, {_PER_LABEL} SELECT * FROM per_label",
         "langid_per_label_top": f"WITH {_LATEST}, {_PER_LABEL} SELECT * FROM per_label ORDER BY n DESC, label LIMIT 20",
-        "latest_predictions": f"WITH {_LATEST} SELECT rec_id, evaluated_at, gold, pred, prob FROM latest",
+        "latest_predictions": f"WITH {_LATEST} SELECT rec_id, epoch_us(evaluated_at) AS evaluated_us, gold, pred, prob FROM latest",
         "prediction_rows": f"WITH {_LATEST} SELECT coalesce(gold, '') AS gold, coalesce(pred, '') AS pred, printf('%.6f', coalesce(prob, 0.0)) AS prob, regexp_replace(coalesce(text, ''), '[\\t\\r\\n]+', ' ', 'g') AS text FROM latest",
         "pipeline_wired": f"""
 WITH s AS (SELECT row_id, lang, text, region_code, CASE WHEN best.n = 0 THEN 'Unknown' ELSE best.name END AS script FROM (SELECT *, list_max([{counts}]) AS best FROM shards)),
