@@ -186,8 +186,15 @@ def _content(lines: list[list]) -> list[str]:
         near = [(kernel[d + radius], ratio[k + d]) for d in range(-radius, radius + 1) if 0 <= k + d < len(ratio)]
         smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
     limit = min(THRESHOLD * pstdev(smooth), 20.0)
-    # only lines that are mostly links or bare of text are ever dropped
-    drop = {i for i, s, r in zip(at, smooth, ratio) if s < limit and r < limit and not lines[i][3] and (lines[i][1] * 2 > len(lines[i][0]) or lines[i][2] > 4)}
+    # only lines that are mostly links or bare of text are ever dropped; a region of them ends where text begins
+    weak = [r < limit and not lines[i][3] and (lines[i][1] * 2 > len(lines[i][0]) or lines[i][2] > 4) for i, r in zip(at, ratio)]
+    drop: set[int] = set()
+    for order in (range(len(at)), range(len(at) - 1, -1, -1)):
+        inside = False
+        for k in order:
+            inside = weak[k] and (inside or smooth[k] < limit)
+            if inside:
+                drop.add(at[k])
     return [x[0] for k, x in enumerate(lines) if k not in drop]
 
 
