@@ -2,7 +2,8 @@
 
 Tokens are ordered from rare to common. Two records of similarity t or more share a token among the first
 n - ceil(t n) + 1 of each, so evaluation prefixes are indexed, training prefixes probe the index, and length and
-position filters drop pairs that can't reach t. The filters lose nothing: any total order of the tokens is right,
+position filters, and bitmaps of the bags whose distance bounds the bags' difference from below, drop pairs that
+can't reach t. The filters lose nothing: any total order of the tokens is right,
 and rarity, counted over all records in a sketch of fixed size, only makes it fast.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import cut
 from .neardup import similarity
-from .words import Hasher, as_int32, bag_keys, bags
+from .words import Hasher, as_int32, bag_keys, bags, parity_bits
 
 #: Counters of the rarity sketch: the most rows that reach the driver, whatever the input.
 SKETCH = 1 << 18
@@ -67,13 +68,14 @@ def _order(counts, min_words: int):
             keep = sizes >= max(1, min_words)
             tokens, sizes = tokens[np.repeat(keep, sizes)], sizes[keep]
             k1, k2 = bag_keys(tokens, sizes)
+            parity = parity_bits(tokens, sizes)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             tokens = tokens[np.lexsort((tokens, rare[(tokens % np.uint64(SKETCH)).astype(np.int64)], doc))]
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             kept = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(k1), pa.array(k2), pa.ListArray.from_arrays(offsets, pa.array(as_int32(tokens)))],
-                names=["id", "train", "k1", "k2", "tokens"],
+                [batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(k1), pa.array(k2), pa.array(parity[:, 0].copy()), pa.array(parity[:, 1].copy()), pa.ListArray.from_arrays(offsets, pa.array(as_int32(tokens)))],
+                names=["id", "train", "k1", "k2", "p1", "p2", "tokens"],
             )
 
     return run
@@ -87,20 +89,21 @@ def cross_links(records: DataFrame, threshold: float = THRESHOLD, min_words: int
     spark = records.sparkSession
     records = records.where("id is not null and train is not null and text is not null").select("id", "train", "text")
     counts = spark.sparkContext.broadcast(rarity(records, "text"))
-    ordered = cut(records.mapInArrow(_order(counts, min_words), "id long, train boolean, k1 long, k2 long, tokens array<int>"))
-    classes = cut(ordered.groupBy("train", "k1", "k2").agg(F.min(F.struct("id", "tokens")).alias("r")).select("train", "k1", "k2", F.col("r.id").alias("rep"), "r.tokens"))
-    members = ordered.select("id", "train", "k1", "k2").join(classes.drop("tokens"), ["train", "k1", "k2"]).select("id", "train", "rep")
+    ordered = cut(records.mapInArrow(_order(counts, min_words), "id long, train boolean, k1 long, k2 long, p1 long, p2 long, tokens array<int>"))
+    classes = cut(ordered.groupBy("train", "k1", "k2").agg(F.min(F.struct("id", "p1", "p2", "tokens")).alias("r")).select("train", "k1", "k2", F.col("r.id").alias("rep"), "r.p1", "r.p2", "r.tokens"))
+    members = ordered.select("id", "train", "k1", "k2").join(classes.select("train", "k1", "k2", "rep"), ["train", "k1", "k2"]).select("id", "train", "rep")
 
     n = F.size("tokens")
     prefix = n - F.ceil(F.lit(threshold) * n - 1e-9).cast("int") + 1
-    entries = classes.select("train", "rep", n.alias("n"), F.posexplode(F.slice("tokens", 1, prefix)).alias("at", "token"))
-    index = entries.where("not train").select("token", F.col("rep").alias("eval_rep"), F.col("n").alias("n_e"), F.col("at").alias("at_e"))
-    probe = entries.where("train").select("token", F.col("rep").alias("train_rep"), F.col("n").alias("n_t"), F.col("at").alias("at_t"))
+    entries = classes.select("train", "rep", "p1", "p2", n.alias("n"), F.posexplode(F.slice("tokens", 1, prefix)).alias("at", "token"))
+    index = entries.where("not train").select("token", F.col("rep").alias("eval_rep"), F.col("n").alias("n_e"), F.col("at").alias("at_e"), F.col("p1").alias("p1_e"), F.col("p2").alias("p2_e"))
+    probe = entries.where("train").select("token", F.col("rep").alias("train_rep"), F.col("n").alias("n_t"), F.col("at").alias("at_t"), F.col("p1").alias("p1_t"), F.col("p2").alias("p2_t"))
     # holds for the first common token of every true pair: none is common before it, so the rest must do
     needed = F.lit(threshold / (1 + threshold)) * (F.col("n_e") + F.col("n_t")) - 1e-9
+    apart = F.bit_count(F.col("p1_e").bitwiseXOR(F.col("p1_t"))) + F.bit_count(F.col("p2_e").bitwiseXOR(F.col("p2_t")))
     candidates = (
         index.join(probe, "token")
-        .where((F.least("n_e", "n_t") >= threshold * F.greatest("n_e", "n_t") - 1e-9) & (F.least(F.col("n_e") - F.col("at_e"), F.col("n_t") - F.col("at_t")) >= needed))
+        .where((apart <= F.col("n_e") + F.col("n_t") - 2 * needed) & (F.least("n_e", "n_t") >= threshold * F.greatest("n_e", "n_t") - 1e-9) & (F.least(F.col("n_e") - F.col("at_e"), F.col("n_t") - F.col("at_t")) >= needed))
         .select("eval_rep", "train_rep")
         .distinct()
     )

@@ -108,5 +108,19 @@ def bag_keys(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[0], out[1]
 
 
+def parity_bits(tokens: np.ndarray, sizes: np.ndarray, width: int = 2) -> np.ndarray:
+    """(n, width) words of 64 bits: each bit is the parity of the tokens that hash to it. Every token that two sets
+    don't share changes one bit at most, so the Hamming distance never exceeds the size of the difference."""
+    out = np.zeros((len(sizes), width), _U)
+    full = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[full]
+    if len(starts):
+        h = mix(tokens ^ _U(0x1B873593CC9E2D51))
+        word = (h >> _U(6)) % _U(width)
+        for k in range(width):
+            out[full, k] = np.bitwise_xor.reduceat(np.where(word == k, _U(1) << (h & _U(63)), _U(0)), starts)
+    return out.view(np.int64)
+
+
 def as_int32(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> _U(32)).astype(np.uint32).view(np.int32)
