@@ -42,11 +42,13 @@ def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_i
     draws = blocks.select(*group, "_n", F.explode(F.sequence(F.col("_b") * block + 1, F.least(F.col("_need"), (F.col("_b") + 1) * block))).alias("copy"))
     pick = draw(seed, *[F.col(g).cast("string") for g in group], F.col("copy").cast("string")) % F.col("_n") + 1
     draws = draws.select(*[F.col(g).alias(f"_d{i}") for i, g in enumerate(group)], "copy", pick.alias("_pick"))
-    numbered = ranked(rows, group, [F.col(row_id)], "_rank")
+    # ids alone are ranked and drawn; the rows are joined once, on their id
+    numbered = ranked(rows.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(row_id).alias("_id")), [f"_g{i}" for i in range(len(group))], [F.col("_id")], "_rank")
     on = numbered["_rank"] == draws["_pick"]
-    for i, g in enumerate(group):
-        on = on & numbered[g].eqNullSafe(draws[f"_d{i}"])
-    extra = numbered.join(draws, on).select(*rows.columns, "copy")
+    for i in range(len(group)):
+        on = on & numbered[f"_g{i}"].eqNullSafe(draws[f"_d{i}"])
+    drawn = numbered.join(draws, on).select("_id", "copy")
+    extra = rows.join(drawn, rows[row_id] == drawn["_id"]).select(*rows.columns, "copy")
     return rows.withColumn("copy", F.lit(0).cast("long")).unionByName(extra)
 
 

@@ -63,10 +63,11 @@ def split_long_entries(df: DataFrame, text: str = "text", row_id: str = "row_id"
         df = df.withColumn("_one", F.lit(1))
         on.append("_one")
         means = mean_length(df, text, on).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)], F.col("limit").alias("_limit"))
+        means = broadcast_if_small(means)
         match = None
         for i, k in enumerate(on):
             c = df[k].eqNullSafe(means[f"_k{i}"])
             match = c if match is None else match & c
-        sized = df.join(broadcast_if_small(means), match).drop(*[f"_k{i}" for i in range(len(on))], "_one", "_chunk")
+        sized = df.join(means, match).drop(*[f"_k{i}" for i in range(len(on))], "_one", "_chunk")
     columns = [c for c in sized.columns if c not in (text, "_limit")]
     return sized.select(*columns, F.posexplode(_pieces(F.col(text), F.col("_limit"))).alias("piece", text))

@@ -8,6 +8,7 @@ long as the distance is less than the number of bands, and the greedy rule is se
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -83,28 +84,33 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def _key_sets(distance: int, most: int = 40) -> tuple[int, list[tuple[int, ...]]]:
+    """Number of blocks of a signature, and the sets of blocks used as keys: of distance + r blocks r agree in every
+    pair, for the largest r up to 3 that needs at most `most` keys."""
+    for r in (3, 2, 1):
+        sets = list(combinations(range(distance + r), r))
+        if len(sets) <= most or r == 1:
+            return distance + r, sets
+
+
 def signature_pairs(signed: DataFrame, row_id: str = "row_id", group: str = "grp", bands: int = BANDS, distance: int = DISTANCE) -> DataFrame:
     """`x, y` with x < y of the same group and at most `distance` apart; one row per distinct signature is expected.
 
-    Blocks are groups of a few dozen bits wide, chosen so that pairs at the distance agree on several bands: with m
-    bands and distance d any m - d of them agree, and all sets of two bands are used as keys where m - d is 2 or more,
-    which makes keys twice as wide as single bands and the blocks accordingly smaller."""
+    A pair that differs in `distance` bits agrees on whole bands if those outnumber the distance, which is required;
+    the pairs are the same for any number of bands. The join itself uses keys of several wider blocks together (32
+    bits at distance 3), because a single narrow band is shared by too many records of a large corpus."""
     if not 0 <= distance < bands:
         raise ValueError("bands must outnumber the distance")
-    keys = band_keys(F.col("sig"), bands)
-    rows = signed.select(F.col(row_id).alias("id"), F.col(group).alias("grp"), "sig", keys.alias("b"))
-    agree = bands - distance
-    if agree >= 2:
-        # of any distance + 2 bands two agree at least
-        use = range(distance + 2)
-        wide = [F.struct(F.lit(i * bands + j).alias("k"), F.col("b")[i]["v"].alias("u"), F.col("b")[j]["v"].alias("v")) for i in use for j in use if i < j]
-    else:
-        wide = [F.struct(F.lit(i).alias("k"), F.col("b")[i]["v"].alias("u"), F.lit(0).cast("long").alias("v")) for i in range(bands)]
-    keyed = rows.select("id", "grp", "sig", F.explode(F.array(*wide)).alias("w")).select("id", "grp", "sig", "w.k", "w.u", "w.v")
-    other = keyed.select(F.col("id").alias("id2"), F.col("grp"), F.col("sig").alias("sig2"), "k", "u", "v")
+    blocks, sets = _key_sets(distance)
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    part = [F.shiftrightunsigned("sig", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) if b - a < 64 else F.col("sig") for a, b in zip(edges, edges[1:])]
+    rows = signed.select(F.col(row_id).alias("id"), F.xxhash64(group).alias("g"), "sig")
+    keys = F.array(*[F.xxhash64("g", F.lit(k), *[part[i] for i in s]) for k, s in enumerate(sets)])
+    keyed = rows.select("id", "g", "sig", F.explode(keys).alias("key"))
+    other = keyed.select(F.col("id").alias("id2"), F.col("g").alias("g2"), F.col("sig").alias("sig2"), "key")
     return (
-        keyed.join(other, ["grp", "k", "u", "v"])
-        .where((F.col("id") < F.col("id2")) & (hamming(F.col("sig"), F.col("sig2")) <= distance))
+        keyed.join(other, "key")
+        .where((F.col("id") < F.col("id2")) & (F.col("g") == F.col("g2")) & (hamming(F.col("sig"), F.col("sig2")) <= distance))
         .select(F.col("id").alias("x"), F.col("id2").alias("y"))
         .distinct()
     )

@@ -34,6 +34,16 @@ def filter_low_count_labels(df: DataFrame, label: str = "lang", min_count: int =
     return df.join(broadcast_if_small(frequent_labels(df, label, min_count)), label, "left_semi")
 
 
+def _semi(df: DataFrame, keys: list[str], kept: DataFrame) -> DataFrame:
+    """Rows whose keys, NULL included, are in `kept(_k0, _k1, ...)`."""
+    kept = broadcast_if_small(kept)
+    on = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(kept[f"_k{i}"])
+        on = c if on is None else on & c
+    return df.join(kept, on, "left_semi")
+
+
 def min_per_class(df: DataFrame, keys: list[str], minimum: int = 3) -> DataFrame:
     """Rows whose group has at least `minimum` rows; all rows if `minimum` is 0 or less.
 
@@ -41,11 +51,7 @@ def min_per_class(df: DataFrame, keys: list[str], minimum: int = 3) -> DataFrame
     if minimum <= 0:
         return df
     kept = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= minimum).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    on = None
-    for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(kept[f"_k{i}"])
-        on = c if on is None else on & c
-    return df.join(broadcast_if_small(kept), on, "left_semi")
+    return _semi(df, keys, kept)
 
 
 def common_labels(df: DataFrame, keys: list[str], label: str = "lang", split: str = "split") -> DataFrame:
@@ -59,12 +65,7 @@ def common_labels(df: DataFrame, keys: list[str], label: str = "lang", split: st
     full = F.least(*[F.max(s).over(whole) for s in ("train", "valid", "test")])
     kept = per_label.withColumn("_full", full).where((F.least("train", "valid", "test") == 1) | (F.col("_full") == 0))
     names = [*keys, label]
-    kept = kept.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)])
-    on = None
-    for i, k in enumerate(names):
-        c = df[k].eqNullSafe(kept[f"_k{i}"])
-        on = c if on is None else on & c
-    return df.join(broadcast_if_small(kept), on, "left_semi")
+    return _semi(df, names, kept.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)]))
 
 
 def subset_of_path(path):

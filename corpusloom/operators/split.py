@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..runtime import cut
-from .filters import common_labels, min_per_class
+from ..runtime import broadcast_if_small, cut
 
 
 def split_sizes(n: Column, train: float = 0.8, valid: float = 0.1) -> tuple[Column, Column]:
@@ -31,16 +30,38 @@ def split_sizes(n: Column, train: float = 0.8, valid: float = 0.1) -> tuple[Colu
 def stratified_split(df: DataFrame, label: str = "lang", row_id: str = "row_id", keys: list[str] = (), train: float = 0.8, valid: float = 0.1, seed: int = 42, min_rows: int = 3, intersect: bool = True) -> DataFrame:
     """The rows with a column `split`. Labels of fewer than `min_rows` rows go, then labels that some split lacks.
 
-    Ranks within a label come from range partitions on (label, hash), whose bounds are sampled quantiles: a label with
-    most of the rows is ranked by many tasks. NULL labels are no class and go."""
+    Only (label, hash, id) is ranked, in range partitions whose bounds are sampled quantiles, so a label with most of
+    the rows is ranked by many tasks. What comes back is one pair of bounds per label; rows find their split by
+    comparing their own hash with these, without being moved. NULL labels are no class and go."""
     if train <= 0 or valid < 0 or train + valid >= 1:
         raise ValueError("shares must be positive and leave room for test")
-    rows = min_per_class(df.where(F.col(label).isNotNull()), [*keys, label], min_rows)
+    group = [*keys, label]
     h = F.md5(F.concat_ws("#", F.lit(str(seed)), F.col(row_id)))
-    rows = ranked(rows, [*keys, label], [h, F.col(row_id)], "_rank", "_total")
+    narrow = df.where(F.col(label).isNotNull()).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], h.alias("_h"), F.col(row_id).alias("_id"))
+    names = [f"_g{i}" for i in range(len(group))]
     tr, va = split_sizes(F.col("_total"), train, valid)
-    out = rows.withColumn("split", F.when(F.col("_rank") <= tr, "train").when(F.col("_rank") <= tr + va, "valid").otherwise("test")).drop("_rank", "_total")
-    return common_labels(out, list(keys), label) if intersect else out
+    spots = ranked(narrow, names, [F.col("_h"), F.col("_id")], "_rank", "_total").withColumns({"_tr": tr, "_va": va}).where((F.col("_rank") == 1) | (F.col("_rank") == F.col("_tr")) | (F.col("_rank") == F.col("_tr") + F.col("_va")))
+    at = F.struct("_h", "_id")
+    bounds = spots.groupBy(*names).agg(
+        F.first("_total").alias("_total"), F.first("_tr").alias("_tr"), F.first("_va").alias("_va"),
+        F.max(F.when(F.col("_rank") == F.col("_tr"), at)).alias("_to_train"), F.max(F.when(F.col("_rank") == F.col("_tr") + F.col("_va"), at)).alias("_to_valid"),
+    )
+    if min_rows > 0:
+        bounds = bounds.where(F.col("_total") >= min_rows)
+    if intersect:
+        # a label is common if all its sizes are positive; where a whole split is empty, none is asked to be
+        sizes = [F.col("_tr"), F.col("_va"), F.col("_total") - F.col("_tr") - F.col("_va")]
+        whole = W.partitionBy(*names[:-1]) if keys else W.partitionBy(F.lit(1))
+        full = F.least(*[F.max(s).over(whole) for s in sizes]) > 0
+        bounds = bounds.withColumn("_full", full).where((F.least(*sizes) > 0) | ~F.col("_full")).drop("_full")
+    bounds = broadcast_if_small(bounds)
+    on = None
+    for g, n in zip(group, names):
+        c = df[g].eqNullSafe(bounds[n])
+        on = c if on is None else on & c
+    own = F.struct(h.alias("_h"), F.col(row_id).alias("_id"))
+    split = F.when(own <= F.col("_to_train"), "train").when(own <= F.col("_to_valid"), "valid").otherwise("test")
+    return df.join(bounds, on).withColumn("split", split).select(*[df[c] for c in df.columns], "split")
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, total: str | None = None) -> DataFrame:
@@ -55,16 +76,16 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str, tota
     pieces = ranged.groupBy("_part", *group).agg(F.count("*").alias("_n"))
     by_group = W.partitionBy(*group)
     pieces = pieces.select("*", F.coalesce(F.sum("_n").over(by_group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(by_group).alias("_all"))
-    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    keys = [F.col(g).alias(f"_q{i}") for i, g in enumerate(group)]
     pieces = pieces.select(F.col("_part").alias("_p"), *keys, "_before", "_all")
     local = ranged.withColumn("_local", F.row_number().over(W.partitionBy("_part", *group).orderBy(*names)))
     on = local["_part"] == pieces["_p"]
     for i, g in enumerate(group):
-        on = on & local[g].eqNullSafe(pieces[f"_g{i}"])
+        on = on & local[g].eqNullSafe(pieces[f"_q{i}"])
     out = local.join(pieces, on).withColumn(rank, F.col("_before") + F.col("_local"))
     if total:
         out = out.withColumn(total, F.col("_all"))
-    return out.drop("_part", "_local", "_p", "_before", "_all", *names, *[f"_g{i}" for i in range(len(group))])
+    return out.drop("_part", "_local", "_p", "_before", "_all", *names, *[f"_q{i}" for i in range(len(group))])
 
 
 def split_stats(df: DataFrame, keys: list[str] = (), label: str = "lang") -> DataFrame:

@@ -39,5 +39,9 @@ def small(df: DataFrame, limit: int = SMALL_ROWS) -> list:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast only when a bounded count proves the side small; otherwise leave the join to AQE."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """A table computed once: as a broadcast of its rows if there are at most `limit` of them, else cut and left to a
+    shuffled join."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return cut(df)
