@@ -49,6 +49,20 @@ def _tokens(text: str) -> list[str]:
     return _TOKEN.findall(_DIGITS.sub(" ", text.lower()))
 
 
+_SPACE = re.compile(r"&[#\w]{1,31};")
+
+
+def _located(text: str) -> list[tuple[str, int, int]]:
+    """Tokens with their places in the NFC form of the text; what isn't language is blanked, not removed."""
+    text = unicodedata.normalize("NFC", text)
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    low = _SPACE.sub(lambda m: " " * len(m.group()), low)
+    low = _DROP.sub(lambda m: "\n" + " " * (len(m.group()) - 1), low)
+    return [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(re.sub(r"[\d_]", " ", low))]
+
+
 def _grams(ws: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word, n-gram hash) of every distinct n-gram of every word."""
     joined = " " + " ".join(ws) + " "
@@ -179,11 +193,10 @@ class Scorer:
             self.known.update(zip(part, range(self.used, self.used + len(part))))
             self.used += len(part)
 
-    def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, added weights, n-grams, letters) of each stretch: a sentence, or STRETCH words of a long one."""
+    def _score(self, tokens: list[list[str]]):
+        """(text, added weights, n-grams, letters, first word) of each stretch; words are counted over all texts."""
         if self.used > _CACHE:
             self.reset()
-        tokens = [_tokens(t) for t in texts]
         known = self.known
         ends = _ENDS + "\n|;«»„“”\""
         for e in ends:
@@ -193,36 +206,66 @@ class Scorer:
             self._learn(sorted(new))
         sizes = np.array([len(t) for t in tokens], np.int64)
         ids = np.array([known[w] for t in tokens for w in t], np.int64)
-        doc = np.repeat(np.arange(len(texts)), sizes)
+        doc = np.repeat(np.arange(len(tokens)), sizes)
         end = ids == 0
         sentence = np.cumsum(end) + doc  # a new text starts a new sentence, too
         keep = ~end
         ids, doc, sentence = ids[keep], doc[keep], sentence[keep]
         if not len(ids):
-            return doc, np.zeros((0, len(self.model.langs)), np.float32), np.zeros(0, np.float32), np.zeros(0, np.int64)
+            return doc, np.zeros((0, len(self.model.langs)), np.float32), np.zeros(0, np.float32), np.zeros(0, np.int64), doc
         first = np.nonzero(np.diff(sentence, prepend=-1))[0]
         n = np.diff(np.append(first, len(ids)))
         index = np.arange(len(ids)) - np.repeat(first, n)
         chunks = np.where(n > LONG, (n + STRETCH // 2) // STRETCH, 1)
         chunk = np.where(np.repeat(chunks, n) > 1, np.minimum(index // STRETCH, np.repeat(chunks, n) - 1), 0)
         starts = np.nonzero((np.diff(sentence, prepend=-1) != 0) | (np.diff(chunk, prepend=0) != 0))[0]
-        return doc[starts], _sum_rows(self.vectors, ids, starts), np.add.reduceat(self.grams[ids], starts), np.add.reduceat(self.letters[ids].astype(np.int64), starts)
+        return doc[starts], _sum_rows(self.vectors, ids, starts), np.add.reduceat(self.grams[ids], starts), np.add.reduceat(self.letters[ids].astype(np.int64), starts), starts
+
+    def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, added weights, n-grams, letters) of each stretch: a sentence, or STRETCH words of a long one."""
+        return self._score([_tokens(t) for t in texts])[:4]
+
+    @staticmethod
+    def _label(n: int, doc: np.ndarray, v: np.ndarray, g: np.ndarray, evidence: float) -> np.ndarray:
+        """Language of each stretch: its best one if that leads enough, else the main one of its text."""
+        total = np.zeros((n, v.shape[1]), np.float32)
+        if len(doc):
+            at = np.nonzero(np.diff(doc, prepend=-1))[0]
+            total[doc[at]] = _sum_rows(v, np.arange(len(v)), at)
+        main = total.argmax(1)[doc]
+        best = v.argmax(1) if len(doc) else doc
+        rows = np.arange(len(doc))
+        lead = v[rows, best] - v[rows, main]
+        return np.where((best != main) & (lead > evidence * g), best, main)
+
+    def segments(self, texts: list[str], evidence: float = EVIDENCE) -> list[tuple[int, int, int, int, str, int, float]]:
+        """(text, number, start, end, language, letters, confidence) of each run of stretches in one language; the
+        places are those of the first and last word in the NFC form of the text."""
+        located = [_located(t) for t in texts]
+        doc, v, g, l, starts = self._score([[w for w, _, _ in t] for t in located])
+        if not len(doc):
+            return []
+        spans = np.array([(a, b) for t in located for w, a, b in t if self.known[w]], np.int64)
+        label = self._label(len(texts), doc, v, g, evidence)
+        ends = np.append(starts[1:], len(spans)) - 1
+        cut = np.nonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(label, prepend=-1) != 0))[0]
+        last = np.append(cut[1:], len(doc)) - 1
+        sums, grams, letters = np.add.reduceat(v, cut), np.add.reduceat(g, cut), np.add.reduceat(l, cut)
+        out, number, before = [], 0, -1
+        for k, (i, j) in enumerate(zip(cut.tolist(), last.tolist())):
+            number = number + 1 if doc[i] == before else 0
+            before = doc[i]
+            own = sums[k, label[i]]
+            sure = 0.5 + (own - np.delete(sums[k], label[i]).max(initial=0.0)) / max(1.0, grams[k]) / 0.5
+            out.append((int(doc[i]), number, int(spans[starts[i], 0]), int(spans[ends[j], 1]), self.model.langs[label[i]], int(letters[k]), float(np.clip(sure, 0, 1))))
+        return out
 
     def languages(self, texts: list[str], letters: int = LETTERS, evidence: float = EVIDENCE):
         """(text, language, letters, confidence) of the languages of each text, the main one first."""
         doc, v, g, l = self.stretches(texts)
         n, k = len(texts), len(self.model.langs)
-        total = np.zeros((n, k), np.float32)
-        if len(doc):
-            at = np.nonzero(np.diff(doc, prepend=-1))[0]
-            total[doc[at]] = _sum_rows(v, np.arange(len(v)), at)
-        main = total.argmax(1)
-        best = v.argmax(1) if len(doc) else np.zeros(0, np.int64)
         rows = np.arange(len(doc))
-        lead = v[rows, best] - v[rows, main[doc]]
-        # a short stretch of doubtful language goes with the main one
-        foreign = (best != main[doc]) & (lead > evidence * g)
-        label = np.where(foreign, best, main[doc])
+        label = self._label(n, doc, v, g, evidence)
         key = doc * k + label
         keys, inverse = np.unique(key, return_inverse=True)
         by_letters, by_grams, by_score = (np.bincount(inverse, x, len(keys)) for x in (l, g, v[rows, label]))
@@ -268,7 +311,7 @@ def _apply(model: Model, df: DataFrame, id_col: str, text_col: str, label: Colum
     return rows.mapInArrow(_run(shared, letters, evidence, wrong_only), f"id {rows.schema['id'].dataType.simpleString()}, label string, found_lang string, letters long, confidence double")
 
 
-def stretches(model: Model, df: DataFrame, id_col: str, text_col: str, label: Column | None = None, letters: int = LETTERS, evidence: float = EVIDENCE) -> DataFrame:
+def found(model: Model, df: DataFrame, id_col: str, text_col: str, label: Column | None = None, letters: int = LETTERS, evidence: float = EVIDENCE) -> DataFrame:
     """`id, label, found_lang, letters, confidence`: one row per language with at least `letters` letters of text.
 
     `letters` adds up the stretches of that language in the text, `label` is carried along. NULL, empty and wordless
@@ -278,5 +321,29 @@ def stretches(model: Model, df: DataFrame, id_col: str, text_col: str, label: Co
 
 
 def mislabelled(model: Model, df: DataFrame, id_col: str, text_col: str, label: Column, letters: int = LETTERS, evidence: float = EVIDENCE) -> DataFrame:
-    """The rows of `stretches` whose text has several languages, or one that the label, NULL included, doesn't read as."""
+    """The rows of `found` whose text has several languages, or one that the label, NULL included, doesn't read as."""
     return _apply(model, df, id_col, text_col, label, letters, evidence, True)
+
+
+def _run_segments(shared, evidence: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(cloudpickle.loads(shared.value))
+        for batch in batches:
+            for s in range(0, batch.num_rows, 2000):
+                part = batch.slice(s, 2000)
+                rows = scorer.segments(part.column(1).to_pylist(), evidence)
+                doc, number, start, end, lang, size, sure = list(zip(*rows)) or [()] * 7
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(list(doc), pa.int64())), *(pa.array(list(c), t) for c, t in zip((number, start, end, lang, size, sure), (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.float64())))],
+                    names=["id", "segment", "start", "end", "found_lang", "letters", "confidence"],
+                )
+
+    return run
+
+
+def segments(model: Model, df: DataFrame, id_col: str, text_col: str, evidence: float = EVIDENCE) -> DataFrame:
+    """`id, segment, start, end, found_lang, letters, confidence`: each single-language stretch of each text, numbered
+    from 0, with its place in code points of the text's NFC form. NULL, empty and wordless texts have no row."""
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
+    return rows.mapInArrow(_run_segments(shared, evidence), f"id {rows.schema['id'].dataType.simpleString()}, segment int, start int, end int, found_lang string, letters long, confidence double")

@@ -42,8 +42,12 @@ def _labelled(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "shards"), "row_id", "text", label
 
 
-def p3_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.stretches(_model(spark, sf_dir), *_labelled(spark, sf_dir)).withColumnRenamed("id", "row_id")
+def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.found(_model(spark, sf_dir), *_labelled(spark, sf_dir)).withColumnRenamed("id", "row_id")
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.segments(_model(spark, sf_dir), table(spark, sf_dir, "shards"), "row_id", "text").withColumnRenamed("id", "row_id")
 
 
 def _sampling(spark: SparkSession, sf_dir: str):
@@ -134,7 +138,7 @@ def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (p1_found, p1_pieces, p2_found, p2_clean, p3_found, p3_stretches, p4_found, p4_report, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_mixture, p10_found, p10_profiles, p10_stats)
+    named = (p1_found, p1_pieces, p2_found, p2_clean, p3_found, p3_languages, p3_segments, p4_found, p4_report, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_mixture, p10_found, p10_profiles, p10_stats)
     return {q.__name__: q for q in named}
 
 

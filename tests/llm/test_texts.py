@@ -121,9 +121,21 @@ def test_mislabelled_and_mixed_rows(spark, tongues):
     df = spark.createDataFrame([(i, t, l, "z", 1.0) for i, t, l in rows], "row_id long, text string, lang string, found_lang string, confidence double")
     got = sorted((r["id"], r["found_lang"]) for r in langid.mislabelled(model, df, "row_id", "text", F.col("lang")).collect())
     assert got == [(2, "aaa"), (3, "aaa"), (3, "bbb"), (4, "ccc"), (4, "ccc")]
-    every = langid.stretches(model, df, "row_id", "text").collect()
+    every = langid.found(model, df, "row_id", "text").collect()
     assert {r["id"] for r in every} == {1, 2, 3, 4, 9} and all(0 <= r["confidence"] <= 1 for r in every)
-    assert langid.stretches(model, df.where("false"), "row_id", "text").count() == 0
+    assert langid.found(model, df.where("false"), "row_id", "text").count() == 0
+
+
+def test_segments_have_their_places(spark, tongues):
+    makers, model = tongues
+    parts = [" ".join(makers[k]() for _ in range(4)) for k in ("aaa", "bbb", "aaa")]
+    text = "<p>" + "\n".join(parts) + "</p>"
+    df = spark.createDataFrame([(1, text, 0), (2, None, 0), (3, "12 ..", 0)], "row_id long, text string, segment int")
+    got = sorted((r["segment"], r["found_lang"], text[r["start"] : r["end"]], r["confidence"]) for r in langid.segments(model, df, "row_id", "text").collect())
+    assert [(n, k) for n, k, _, _ in got] == [(0, "aaa"), (1, "bbb"), (2, "aaa")]
+    for (_, _, piece, sure), part in zip(got, parts):
+        assert piece == part.rstrip(".") and 0.5 <= sure <= 1
+    assert langid.segments(model, df.where("false"), "row_id", "text").count() == 0
 
 
 def test_training_table_is_bounded(spark):
