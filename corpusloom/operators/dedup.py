@@ -7,6 +7,7 @@ long as the distance is less than the number of bands, and the greedy rule is se
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,32 +30,59 @@ def exact_dedup(df: DataFrame, text: str = "text", row_id: str = "row_id", keys:
     return df.join(first.select(F.col("_first")), F.col(row_id) == F.col("_first"), "left_semi")
 
 
+class _Signer:
+    """Signatures of texts; the +1/-1 rows of n-grams are remembered up to a bounded number."""
+
+    LIMIT = 500_000
+
+    def __init__(self, ngram: int):
+        self.ngram = ngram
+        self.weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
+        self.reset()
+
+    def reset(self) -> None:
+        self.known: dict[int | str, int] = {}
+        self.rows = np.zeros((1 << 12, 64), np.int8)
+
+    def _row(self, key: int | str, gram: str) -> int:
+        k = len(self.known)
+        if k == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        bits = np.unpackbits(np.frombuffer(hashlib.md5(gram.encode("utf-8", "surrogatepass")).digest()[:8], np.uint8))[::-1]
+        self.rows[k] = bits.astype(np.int8) * 2 - 1
+        self.known[key] = k
+        return k
+
+    def sign(self, text: str | None) -> np.uint64:
+        if not text:
+            return np.uint64(0)
+        n = self.ngram
+        if len(self.known) > self.LIMIT:
+            self.reset()
+        known = self.known
+        if n <= 3 and len(text) >= n:
+            # up to three code points fit one number
+            cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+            packed = cps[: len(cps) - n + 1].copy()
+            for k in range(1, n):
+                packed = (packed << np.uint64(21)) | cps[k : len(cps) - n + 1 + k]
+            keys, counts = np.unique(packed, return_counts=True)
+            index = [known[k] if k in known else self._row(k, "".join(chr((k >> (21 * (n - 1 - i))) & 0x1FFFFF) for i in range(n))) for k in keys.tolist()]
+        else:
+            grams: dict[str, int] = {}
+            for k in range(max(1, len(text) - n + 1)):
+                g = text[k : k + n]
+                grams[g] = grams.get(g, 0) + 1
+            counts = np.array(list(grams.values()))
+            index = [known[g] if g in known else self._row(g, g) for g in grams]
+        return self.weights[counts.astype(np.float32) @ self.rows[index].astype(np.float32) > 0].sum(dtype=np.uint64)
+
+
 def _simhash(ngram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        signs: dict[str, np.ndarray] = {}
+        signer = _Signer(ngram)
         for batch in batches:
-            out = np.zeros(batch.num_rows, np.uint64)
-            weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
-            for i, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if not t:
-                    continue
-                counts: dict[str, int] = {}
-                for k in range(max(1, len(t) - ngram + 1)):
-                    s = t[k : k + ngram]
-                    counts[s] = counts.get(s, 0) + 1
-                rows = []
-                for s in counts:
-                    v = signs.get(s)
-                    if v is None:
-                        if len(signs) > 100_000:
-                            signs.clear()
-                        bits = np.unpackbits(np.frombuffer(hashlib.md5(s.encode()).digest()[:8], np.uint8))[::-1]
-                        v = signs[s] = bits.astype(np.int8) * 2 - 1
-                    rows.append(v)
-                total = np.array(list(counts.values()), np.float32) @ np.array(rows, np.float32)
-                out[i] = weights[total > 0].sum(dtype=np.uint64)
+            out = np.array([signer.sign(t) for t in batch.column(batch.num_columns - 1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out.view(np.int64))], names=[*batch.schema.names[:-1], "sig"])
 
     return run

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.scripts import dominant_script, purity_filter
 from ..operators import balance, chunks, dedup, filters, snippets, split
+from ..runtime import cut
 
 
 @dataclass
@@ -89,9 +90,14 @@ def lines(df: DataFrame, o: Options) -> DataFrame:
     return df.select("split", "script", T.label_line(F.col("lang"), F.col("text"), F.col("region_code")).alias("value"))
 
 
+def keep(df: DataFrame, o: Options) -> DataFrame:
+    """Materialised once: the steps after it read it several times, those before it are costly."""
+    return cut(df)
+
+
 #: Steps in order; each maps a DataFrame and options to a DataFrame.
 PIPELINES: dict[str, list[Callable[[DataFrame, Options], DataFrame]]] = {
-    "full": [route, clean, filter_empty, exact, near, short, low_count, split_long, splits, balanced, augmented, lines],
+    "full": [route, clean, filter_empty, keep, exact, near, short, keep, low_count, split_long, keep, splits, balanced, augmented, lines],
     "wired": [route, splits, lines],
 }
 
