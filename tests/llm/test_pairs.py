@@ -71,6 +71,16 @@ def test_near_duplicate_pairs_against_brute_force(spark, seed):
     assert got <= truth and len(got) >= 0.97 * len(truth)
 
 
+def test_pairs_at_the_threshold_are_found(spark):
+    # 28 of 40 words in common: exactly 0.7; blocks and limits that favour closer pairs lose some of these
+    texts = []
+    for g in range(600):
+        common = [f"g{g}c{i}" for i in range(28)]
+        texts += [" ".join([*common, *(f"g{g}{s}{i}" for i in range(6))]) for s in "ab"]
+    got = {tuple(r) for r in neardup.pairs(frame(spark, texts), "row_id", "text").collect()}
+    assert got == {(6 * g, 6 * g + 3) for g in range(600)}
+
+
 def test_heavy_group_of_copies(spark):
     base = " ".join(f"word{i}" for i in range(30))
     texts = [base] * 60 + [base + " more", " ".join(f"other{i}" for i in range(30))]
