@@ -1,7 +1,8 @@
 """Mixing sources to target shares of the total size, by entropy balancing.
 
-The rates r of the documents minimise sum r log(r / q) subject to: the sizes of each source sum to its target. The
-solution tilts exponentially, r = q exp(lambda_s * size), capped at the source's allowed repeats. Newton iterations
+The rates r of the documents stay as near as they can to one copy each: they minimise sum r log r - r subject to: the
+sizes of each source sum to its target. The solution tilts exponentially, r = exp(lambda_s * size), capped at the
+source's allowed repeats. Newton iterations
 on the convex dual find lambda_s; each is one aggregation over a histogram of (source, size), whose size doesn't
 depend on the number of documents with a given size. Rates become whole copies by systematic rounding.
 """
@@ -50,25 +51,25 @@ def token_sizes(path: str, pattern: str):
     return count
 
 
-def _solve(histogram: DataFrame, targets: dict[str, tuple[float, int]], capacity: dict[str, int], largest: dict[str, int]) -> dict[str, dict]:
+def _solve(histogram: DataFrame, targets: dict[str, tuple[float, int]], capacity: dict[str, int], mean: dict[str, float]) -> dict[str, dict]:
     """lambda of each source; `targets[s] = (target size, repeats)`."""
     spark = histogram.sparkSession
     state = {}
     for s, (goal, cap) in targets.items():
         size = capacity.get(s, 0)
         kind = "empty" if not size or goal <= 0 else "short" if size * cap <= goal else "open"
-        # size 1 is the largest document, so the tilt is of order one; the flat rate starts the search
-        state[s] = {"kind": kind, "base": min(cap, goal / size) if size else 0.0, "tilt": 0.0, "cap": cap, "goal": goal, "lo": -700.0, "hi": 700.0}
+        # size 1 is the mean document, so the tilt is of order one; one copy of each starts the search
+        state[s] = {"kind": kind, "tilt": 0.0, "cap": cap, "goal": goal, "lo": -np.inf, "hi": np.inf}
     for _ in range(MAX_ROUNDS):
         left = {s: v for s, v in state.items() if v["kind"] == "open"}
         if not left:
             break
-        at = spark.createDataFrame([(s, float(v["base"]), float(v["tilt"]), float(v["cap"]), float(largest[s])) for s, v in left.items()], "source string, base double, tilt double, cap double, top double")
-        x = F.col("size") / F.col("top")
-        raw = F.col("base") * F.exp(F.col("tilt") * x)
+        at = spark.createDataFrame([(s, float(v["tilt"]), float(v["cap"]), float(mean[s])) for s, v in left.items()], "source string, tilt double, cap double, mean double")
+        x = F.col("size") / F.col("mean")
+        raw = F.exp(F.col("tilt") * x)
         got = (
             histogram.join(F.broadcast(at), "source")
-            .select("source", "n", "size", x.alias("x"), F.least(raw, F.col("cap")).alias("r"), (raw < F.col("cap")).alias("inner"))
+            .select("source", "n", "size", x.alias("x"), F.least(raw, F.col("cap")).alias("r"), (raw <= F.col("cap")).alias("inner"))
             .groupBy("source")
             .agg(F.sum(F.col("n") * F.col("r") * F.col("size")).alias("total"), F.sum(F.when(F.col("inner"), F.col("n") * F.col("r") * F.col("size") * F.col("x")).otherwise(0.0)).alias("slope"))
             .collect()
@@ -80,9 +81,16 @@ def _solve(histogram: DataFrame, targets: dict[str, tuple[float, int]], capacity
                 v["kind"] = "met"
                 continue
             v["lo" if gap < 0 else "hi"] = v["tilt"]
-            step = v["tilt"] - gap / g["slope"] if g["slope"] > 0 else np.nan
-            # Newton where it stays inside what is known of the root, else bisection
-            v["tilt"] = step if v["lo"] < step < v["hi"] else (v["lo"] + v["hi"]) / 2
+            # Newton on the logarithm of the total, which is closer to a line than the total
+            step = v["tilt"] - np.log(g["total"] / v["goal"]) * g["total"] / g["slope"] if g["slope"] > 0 else np.nan
+            if v["lo"] < step < v["hi"]:
+                v["tilt"] = float(step)
+            elif np.isfinite(v["lo"]) and np.isfinite(v["hi"]):
+                v["tilt"] = (v["lo"] + v["hi"]) / 2
+            else:
+                v["tilt"] += -np.sign(gap) * max(1.0, abs(v["tilt"]))
+    if open_ := sorted(s for s, v in state.items() if v["kind"] == "open"):
+        raise ArithmeticError(f"no rates found in {MAX_ROUNDS} rounds for {open_}")
     return state
 
 
@@ -121,16 +129,19 @@ class Mixture:
         self.size = int(self.histogram.agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0)
         self.total = float(self.size if total is None else total)
         # only sources with a target come to the driver, which the table of targets bounds
-        have = self.histogram.join(F.broadcast(wanted), "source").groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("size"), F.max("size").alias("top")).collect()
+        have = self.histogram.join(F.broadcast(wanted), "source").groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("size")).collect()
         self.have = {r["source"]: r for r in have}
         goals = {s: (share * self.total, cap) for s, (share, cap) in self.targets.items()}
-        self.state = _solve(self.histogram, goals, {s: r["size"] for s, r in self.have.items()}, {s: max(1, r["top"]) for s, r in self.have.items()})
+        self.state = _solve(self.histogram, goals, {s: r["size"] for s, r in self.have.items()}, {s: self._mean(s) for s in self.have})
+
+    def _mean(self, source: str) -> float:
+        return max(1.0, self.have[source]["size"] / self.have[source]["n"])
 
     def documents(self) -> DataFrame:
         """`id, source, size, copies` of the documents used, `copies` at most the source's repeats."""
-        rows = [(s, float(v["base"]), float(v["tilt"]), float(v["cap"]), float(max(1, self.have[s]["top"])), v["kind"] == "short") for s, v in self.state.items() if s in self.have and v["kind"] != "empty"]
-        at = self.spark.createDataFrame(rows, "source string, base double, tilt double, cap double, top double, short boolean")
-        rate = F.when(F.col("short"), F.col("cap")).otherwise(F.least(F.col("base") * F.exp(F.col("tilt") * F.col("size") / F.col("top")), F.col("cap")))
+        rows = [(s, float(v["tilt"]), float(v["cap"]), self._mean(s), v["kind"] == "short") for s, v in self.state.items() if s in self.have and v["kind"] != "empty"]
+        at = self.spark.createDataFrame(rows, "source string, tilt double, cap double, mean double, short boolean")
+        rate = F.when(F.col("short"), F.col("cap")).otherwise(F.least(F.exp(F.col("tilt") * F.col("size") / F.col("mean")), F.col("cap")))
         rated = self.sized.join(F.broadcast(at), "source").select("id", "source", "size", rate.alias("rate")).sortWithinPartitions("source", "size", "id")
         return rated.mapInArrow(_systematic, f"id {self.sized.schema['id'].dataType.simpleString()}, source string, size long, copies long")
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +98,22 @@ def test_mixture_follows_the_targets(spark):
     assert len({r["id"] for r in used}) == len(used)
 
 
+def test_mixture_tilts_the_rates(spark):
+    # "less" needs fewer than one copy of each, "more" more, and its longest documents reach the cap; one is an outlier
+    rows = [(i, "w " * n, s) for s, k in (("less", 0), ("more", 10_000)) for i, n in enumerate([*range(1, 200), 20_000], k)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("less", 0.1, 2), ("more", 1.1, 3)], "source string, share double, cap long")
+    m = mixing.Mixture(df, "doc_id", "source", mixing.word_sizes(F.col("text")), targets)
+    assert m.state["less"]["kind"] == m.state["more"]["kind"] == "met"
+    assert m.state["less"]["tilt"] < -0.1 and m.state["more"]["tilt"] > 0.1
+    sizes = [*range(1, 200), 20_000]
+    for source, share, cap in (("less", 0.1, 2), ("more", 1.1, 3)):
+        rates = [min(cap, math.exp(m.state[source]["tilt"] * n / (sum(sizes) / 200))) for n in sizes]
+        assert abs(sum(r * n for r, n in zip(rates, sizes)) / (share * m.total) - 1) <= mixing.TOLERANCE
+    report = {r["source"]: r for r in m.report().collect()}
+    assert all(not r["short"] for r in report.values())
+
+
 def test_mixture_of_nothing(spark):
     targets = spark.createDataFrame(TARGETS, "source string, share double, cap long")
     m = mixing.Mixture(documents(spark).where("false"), "doc_id", "source", mixing.word_sizes(F.col("text")), targets)
