@@ -143,8 +143,9 @@ def allowed_scripts(spark: SparkSession, langs: list[str], mode: str = "likely")
     return out
 
 
-def purity_filter(df: DataFrame, text_col: str, lang_col: str, mode: str = "likely", limit: int = 100_000) -> DataFrame:
+def purity_filter(df: DataFrame, text_col: str, lang_col: str, mode: str = "likely", limit: int = 100_000, keep_unknown: bool = False) -> DataFrame:
     """The text with only those words that hold a character of a script its language allows; NULL and empty texts stay.
+    With `keep_unknown`, so do those of labels for which no script is known.
 
     The distinct labels are looked up on the driver; more than `limit` of them are refused.
     """
@@ -164,6 +165,8 @@ def purity_filter(df: DataFrame, text_col: str, lang_col: str, mode: str = "like
             if not text:
                 return text
             may = sets.get(lang, frozenset())
+            if keep_unknown and not may:
+                return text
             out = []
             for w in text.split():
                 s = scripts.get(w)

@@ -23,7 +23,7 @@ class Options:
     digits: bool = False
     wiki: bool = True
     form: str = "NFC"
-    purity: str | None = None
+    purity: str | None = "likely"
     bands: int = dedup.BANDS
     distance: int = dedup.DISTANCE
     max_words: int = 8
@@ -43,8 +43,18 @@ def route(df: DataFrame, o: Options) -> DataFrame:
 
 
 def clean(df: DataFrame, o: Options) -> DataFrame:
-    df = df.withColumn("text", T.clean(F.col("text"), lowercase=o.lowercase, strip_numbers=o.strip_numbers, digits=o.digits, wiki=o.wiki, form=o.form))
-    return purity_filter(df, "text", "lang", o.purity) if o.purity else df
+    return df.withColumn("text", T.clean(F.col("text"), lowercase=o.lowercase, strip_numbers=o.strip_numbers, digits=o.digits, wiki=o.wiki, form=o.form))
+
+
+def pure(df: DataFrame, o: Options) -> DataFrame:
+    """Words in scripts the language isn't written in are left out; `purity=None` keeps them. A label counts by its first
+    part; texts whose label names no language with a known script stay whole in mode `likely`."""
+    if not o.purity:
+        return df
+    tag = F.regexp_extract(F.lower(F.trim("lang")), "^([^-_]*)", 1)
+    # the locale data would take "und" for English
+    tagged = df.withColumn("_tag", F.nullif(tag, F.lit("und")))
+    return purity_filter(tagged, "text", "_tag", o.purity, keep_unknown=o.purity == "likely").drop("_tag")
 
 
 def filter_empty(df: DataFrame, o: Options) -> DataFrame:
@@ -97,7 +107,7 @@ def keep(df: DataFrame, o: Options) -> DataFrame:
 
 #: Steps in order; each maps a DataFrame and options to a DataFrame.
 PIPELINES: dict[str, list[Callable[[DataFrame, Options], DataFrame]]] = {
-    "full": [route, clean, filter_empty, keep, exact, near, short, keep, low_count, split_long, keep, splits, balanced, augmented, lines],
+    "full": [route, clean, pure, filter_empty, keep, exact, near, short, keep, low_count, split_long, keep, splits, balanced, augmented, lines],
     "wired": [route, splits, lines],
 }
 

@@ -53,6 +53,17 @@ def test_pipelines(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, pipeline.run("full", corpus(spark).repartition(3), pipeline.Options(distance=0, bands=8)).collect()))
 
 
+def test_full_pipeline_leaves_out_foreign_scripts(spark):
+    mixed = "der alte Bauer старый trug zwei Körbe"
+    labels = ["deu", "de-DE", " DEU ", "rus", "qaa", "und", "-", "english", None]
+    df = spark.createDataFrame([(i, mixed, label, "DE") for i, label in enumerate(labels)], SCHEMA)
+    got = {r["row_id"]: r["text"] for r in pipeline.run("full", df, until="pure").collect()}
+    whole, latin = "der alte bauer старый trug zwei körbe", "der alte bauer trug zwei körbe"
+    assert [got[i] for i in range(9)] == [latin, latin, latin, "старый", whole, whole, whole, whole, whole]
+    kept = pipeline.run("full", df, pipeline.Options(purity=None), until="pure").collect()
+    assert {r["text"] for r in kept} == {whole}
+
+
 def test_pipeline_of_nothing(spark):
     assert pipeline.run("full", spark.createDataFrame([], SCHEMA)).count() == 0
 
