@@ -244,7 +244,8 @@ def quantise_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     dim = vectors.select(F.max(F.size("embedding"))).first()[0] or 0
-    coded, _ = model.quantise(vectors, "embedding", dim, dsub=max(1, dim // 4), codes=16)
+    dsub = spark.range(1).select(T.pick_dsub(F.lit(dim))).first()[0]
+    coded, _ = model.quantise(vectors, "embedding", dim, dsub=dsub, codes=256)
     return coded.select("vec_id", "codes")
 
 

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from corpusloom import queries
 from corpusloom.operators import model
 from corpusloom.plans import pipeline
 from corpusloom.sources import readers, writers
@@ -82,6 +83,13 @@ def test_quantised_vectors(spark):
     assert model.quantisation_gates(255, 300) == (False, True)
 
 
+def test_registered_quantiser_has_the_full_code(spark, tmp_path):
+    rows = [(i, [float((i * k * 37) % 101) for k in range(1, 9)]) for i in range(300)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    codes = [r["codes"] for r in queries.quantise_vectors(spark, str(tmp_path)).collect()]
+    assert {len(c) for c in codes} == {2} and all(len({c[k] for c in codes}) > 16 for k in range(2))
+
+
 def test_stateless_and_stateful_streams(spark, tmp_path):
     corpus(spark).withColumn("ingested_at", F.timestamp_seconds(F.col("row_id") * 3600 + 1_700_000_000)).write.parquet(f"{tmp_path}/in")
     schema = spark.read.parquet(f"{tmp_path}/in").schema
