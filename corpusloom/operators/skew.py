@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -101,3 +102,64 @@ def heavy_keys(profile: DataFrame, share: float) -> DataFrame:
     known = profile.where("key is not null").select("key", "n_rows")
     total = known.agg(F.sum("n_rows")).first()[0] or 0
     return known.where(F.col("n_rows") >= F.lit(share) * F.lit(total)).select("key", "n_rows")
+
+
+def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`part, <keys>, id` in order of keys and id, and the first id of each run of equal keys within the partition."""
+    last, lead = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:-1]]
+        ids = batch.columns[-1].to_numpy(zero_copy_only=False)
+        fresh = np.zeros(len(ids), bool)
+        fresh[0] = last is None or any(k[0] != v for k, v in zip(keys, last))
+        for k in keys:
+            fresh[1:] |= k[1:] != k[:-1]
+        if not fresh[0]:
+            ids = np.concatenate([[lead], ids[1:]])
+        first = np.maximum.accumulate(np.where(fresh, np.arange(len(ids)), 0))
+        leads = ids[first]
+        last, lead = [k[-1] for k in keys], leads[-1]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leads)], names=[*batch.schema.names, "lead"])
+
+
+def run_leads(df: DataFrame, keys: list[str], id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, spanning) of `df(<keys>, id)`, all whole numbers without NULL: `rows(<keys>, id, lead)` with the least id
+    that has the same keys, and `spanning(lead)`, the leads of keys whose rows fill more than one partition.
+
+    Rows are range-partitioned on keys and id, so equal keys, however many, lie in as many partitions as they need;
+    only the first and last key of each partition are looked at together. `spanning` has at most one row a partition."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = ", ".join(["part int", *[f"`{k}` long" for k in keys], "id long", "lead long"])
+    ordered = df.select(*keys, F.col(id_col).alias("id")).repartitionByRange(n, *keys, "id").sortWithinPartitions(*keys, "id")
+    rows = cut(ordered.select(F.spark_partition_id().alias("part"), *keys, "id").mapInArrow(_leads, schema))
+    ends = rows.groupBy("part").agg(F.min(F.struct(*keys, "lead")).alias("first"), F.max(F.struct(*keys, "lead")).alias("last")).orderBy("part").collect()
+    before, found = None, {}
+    for r in ends:
+        first, last = tuple(r["first"]), tuple(r["last"])
+        if before is not None and first[:-1] == before[:-1]:
+            found[first[:-1]] = before[-1]
+            if last[:-1] == first[:-1]:
+                last = before
+        before = last
+    names = [f"_s{i}" for i in range(len(keys))]
+    spans = spark.createDataFrame([(*k, v) for k, v in found.items()], ", ".join([*[f"{s} long" for s in names], "_lead long"]))
+    on = None
+    for k, s in zip(keys, names):
+        on = (rows[k] == spans[s]) if on is None else on & (rows[k] == spans[s])
+    out = rows.join(F.broadcast(spans), on, "left").select(*keys, "id", F.coalesce("_lead", "lead").alias("lead"))
+    return out, spans.select(F.col("_lead").alias("lead"))
+
+
+def expand(df: DataFrame, key: str, rows: DataFrame, lead: str, columns: dict[str, str], spanning: DataFrame, salts: int = 64) -> DataFrame:
+    """`df` joined with `rows` on `key` = `lead`, with the columns of `rows` under new names. Keys in `spanning`, a small
+    table of those that fill whole partitions, are spread over `salts` tasks."""
+    hot = F.broadcast(spanning.select(F.col("lead").alias("_hot")))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts))).otherwise(0).cast("int")
+    right = rows.join(hot, F.col(lead) == F.col("_hot"), "left").select(F.col(lead).alias("_key"), salt.alias("_salt"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+    every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = df.join(hot, F.col(key) == F.col("_hot"), "left").select(*[df[c] for c in df.columns], F.explode(every).alias("_at"))
+    out = left.join(right, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_salt")))
+    return out.select(*df.columns, *[F.col(f"_c{i}").alias(new) for i, new in enumerate(columns.values())])

@@ -220,3 +220,24 @@ def test_metrics(spark):
     assert tuple(evaluation.accuracy(df.where("false")).first()) == (0, 0, 0.0, 0.0, 0.0)
 
 
+
+
+def test_leads_of_runs_that_fill_partitions(spark):
+    rows = [(7, i) for i in range(400)] + [(k, 1000 + k) for k in range(5)] + [(9, 2000 + i) for i in range(3)]
+    out, spanning = skew.run_leads(spark.createDataFrame(rows, "k long, id long"), ["k"], "id")
+    first = {}
+    for k, i in sorted(rows):
+        first.setdefault(k, i)
+    assert sorted((r["k"], r["id"], r["lead"]) for r in out.collect()) == sorted((k, i, first[k]) for k, i in rows)
+    assert [r["lead"] for r in spanning.collect()] == [0]
+    named = spark.createDataFrame([(0, "hot"), (2000, "cold"), (5, "none")], "lead long, name string")
+    got = skew.expand(named, "lead", out, "lead", {"id": "member"}, spanning, salts=4)
+    assert sorted((r["name"], r["member"]) for r in got.collect()) == sorted([("hot", i) for i in range(400)] + [("cold", 2000 + i) for i in range(3)])
+    # the hot key's rows come out of several tasks
+    parts = got.where("name = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_leads_of_nothing(spark):
+    out, spanning = skew.run_leads(spark.createDataFrame([], "k long, id long"), ["k"], "id")
+    assert out.count() == 0 and spanning.count() == 0
