@@ -1,10 +1,16 @@
 """Near-duplicate groups by fingerprint blocks (pigeonhole), verified by Hamming distance, then exactly.
 
-Each bag of words gets a fingerprint of BLOCKS x ROWS min-hash symbols. Two records whose fingerprints differ in
-fewer than BLOCKS symbols agree on a whole block at least (pigeonhole), and one that differs in more still does
-with probability 1 - (1 - J^ROWS)^BLOCKS at similarity J: all but 2 in 100,000 at 0.7. Records are joined on equal blocks; the
-join itself checks the Hamming distance of the one-bit reduction of the symbols, and the few pairs left are
-checked on the words themselves.
+A bag of words has a fingerprint of BLOCKS x ROWS min-hash symbols. Two records whose fingerprints differ in fewer
+than BLOCKS symbols agree on a whole block at least (pigeonhole), and two that differ in more still do with
+probability 1 - (1 - J^ROWS)^BLOCKS at similarity J: all but 2 in 100,000 at 0.7. Records are joined on equal blocks.
+
+The join itself checks Hamming distances. Bags of fewer than LONG words carry parity bits: a word that two bags don't
+share changes one bit at most, so the distance bounds the difference of the bags from below and the check loses
+nothing. Longer bags carry their fingerprint, four bits a symbol, and its distance may exceed the mean at the
+threshold by five standard deviations. The few pairs left are checked on the words themselves.
+
+`exact=True` takes the candidates from an exact prefix filter instead: it loses no pair at any similarity, at the price
+of many more meetings in corpora of few different words.
 """
 
 from __future__ import annotations
@@ -17,74 +23,158 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
+from ..operators.skew import expand, run_leads
 from ..runtime import cut
-from .words import Hasher, as_int32, bag_keys, bags, mix
+from . import prefix
+from .prefix import similarity
+from .words import Hasher, as_int32, bag_keys, bags, mix, parity_bits
 
 #: Blocks of a fingerprint and min-hash symbols in a block.
 BLOCKS, ROWS = 40, 4
 #: Shortest record in words, least similarity of a pair.
 MIN_WORDS, THRESHOLD = 20, 0.7
+#: Words from which on 64, 128 and 256 parity bits are compared; from LONG words on it is the fingerprint.
+WIDER, LONG = (64, 128), 256
 #: Most bits, as a power of two, of the bitmap of candidates that is broadcast.
 BITMAP_LOG = 28
+#: Bits of a bag's key by which it is known in the block join; bags that share them are told apart afterwards.
+NODE_BITS = 48
+#: Bags whose blocks a task remembers having sent already.
+_SEEN = 1 << 20
 _U = np.uint64
-#: Symbols whose lowest bits make up the reduction; more of them than blocks need would only sharpen the check.
-_BITS = 128
+_PER_WORD = 16  # symbols of four bits in a word of 64
+_WORDS = BLOCKS * ROWS // _PER_WORD
 
 
-def _hamming_limit(threshold: float) -> int:
-    """Differing bits allowed: the mean at the threshold and five standard deviations."""
-    p = (1 - threshold) / 2
-    return int(_BITS * p + 5 * (_BITS * p * (1 - p)) ** 0.5)
+def _symbol_limit(threshold: float) -> int:
+    """Differing four-bit symbols allowed: the mean at the threshold and five standard deviations."""
+    p = (1 - threshold) * 15 / 16
+    n = BLOCKS * ROWS
+    return int(n * p + 5 * (n * p * (1 - p)) ** 0.5)
 
 
 def _seeds(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0x2545F4914F6CDD1D)) | _U(1)
 
 
-def fingerprints(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks (n, BLOCKS), 32 bits each, and the two halves of the 128-bit reduction, for bags none of which is empty."""
+def fingerprints(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(blocks, symbols) of bags none of which is empty: (n, BLOCKS) hashes of 32 bits of the symbols of each block, and
+    all symbols, four bits each, as (n, _WORDS) words of 64 bits."""
     starts = np.cumsum(sizes) - sizes
-    n, total = len(sizes), max(_BITS, BLOCKS * ROWS)
+    n = len(sizes)
     blocks = np.zeros((n, BLOCKS), _U)
-    bits = np.zeros((n, 2), _U)
-    for k, seed in enumerate(_seeds(total)):
-        symbol = np.minimum.reduceat((tokens * seed) >> _U(24), starts)
+    symbols = np.zeros((n, _WORDS), _U)
+    for k, seed in enumerate(_seeds(BLOCKS * ROWS)):
+        symbol = mix(np.minimum.reduceat((tokens * seed) >> _U(24), starts))
         b = k // ROWS
-        if b < BLOCKS:
-            blocks[:, b] = mix(blocks[:, b] ^ symbol ^ _U(b + 1))
-        if k < _BITS:
-            bits[:, k // 64] |= (mix(symbol) & _U(1)) << _U(k % 64)
-    return (blocks >> _U(32)).astype(np.uint32).view(np.int32), bits[:, 0].copy().view(np.int64), bits[:, 1].copy().view(np.int64)
+        blocks[:, b] = mix(blocks[:, b] ^ symbol ^ _U(b + 1))
+        symbols[:, k // _PER_WORD] |= (symbol & _U(15)) << _U(k % _PER_WORD * 4)
+    return blocks >> _U(32), symbols.view(np.int64)
+
+
+def nested_parity(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(n, 4) words: the first is the parity of 64 bits, with the second of 128, with all of 256 bits. A wider one folds
+    into a narrower one, so bags of different size compare; words that a bag is too short for are 0."""
+    w = parity_bits(tokens, sizes, 4)
+    out = np.stack([w[:, 0] ^ w[:, 1] ^ w[:, 2] ^ w[:, 3], w[:, 1] ^ w[:, 3], w[:, 2], w[:, 3]], 1)
+    out[sizes < WIDER[0], 1] = 0
+    out[sizes < WIDER[1], 2:] = 0
+    return out
+
+
+def _apart(n: Column) -> Column:
+    """Differing parity bits of the columns p0_a..p3_a and p0_b..p3_b, `n` being the size of the shorter bag."""
+    x0, x1, x2, x3 = (F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b")) for k in range(4))
+    two = x0.bitwiseXOR(x1)
+    wide = F.bit_count(two.bitwiseXOR(x2)) + F.bit_count(x1.bitwiseXOR(x3)) + F.bit_count(x2) + F.bit_count(x3)
+    return F.when(n < WIDER[0], F.bit_count(x0)).when(n < WIDER[1], F.bit_count(two) + F.bit_count(x1)).otherwise(wide)
 
 
-def _sign(min_words: int):
+def _different() -> Column:
+    """Differing four-bit symbols of the arrays m_a and m_b."""
+    out = F.lit(0)
+    for k in range(_WORDS):
+        x = F.get("m_a", F.lit(k)).bitwiseXOR(F.get("m_b", F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        out = out + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
+def _bags(min_words: int, with_blocks: bool, reach: float):
+    """Keys of the bags of a batch, or their blocks; a bag's blocks are sent once a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, seen = Hasher(), set()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tokens, sizes = bags(batch.column(1).to_pylist(), hasher)
             keep = sizes >= max(1, min_words)
+            if with_blocks:
+                k1, k2 = bag_keys(tokens, sizes)
+                if len(seen) > _SEEN:
+                    seen.clear()
+                for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
+                    if key in seen:
+                        keep[i] = False
+                    elif keep[i]:
+                        seen.add(key)
             tokens, ids, sizes = tokens[np.repeat(keep, sizes)], ids[keep], sizes[keep]
             if not len(ids):
                 continue
             k1, k2 = bag_keys(tokens, sizes)
-            blocks, low, high = fingerprints(tokens, sizes)
-            offsets = pa.array(np.arange(0, (len(ids) + 1) * BLOCKS, BLOCKS, dtype=np.int32))
+            if not with_blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(k1), pa.array(k2)], names=["id", "k1", "k2"])
+                continue
+            blocks, symbols = fingerprints(tokens, sizes)
+            # the number of a block is part of its key
+            keys = (blocks | (np.arange(BLOCKS, dtype=_U) << _U(32))).view(np.int64)
+            parity = nested_parity(tokens, sizes)
+            parity[sizes >= LONG] = 0
+            long = sizes >= reach * LONG
+            lists = lambda a, of: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of)]).astype(np.int32)), pa.array(a.ravel()))
+            m = lists(symbols[long], np.where(long, _WORDS, 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(k1), pa.array(k2), pa.array(low), pa.array(high), pa.ListArray.from_arrays(offsets, pa.array(blocks.ravel()))],
-                names=["id", "k1", "k2", "low", "high", "blocks"],
+                [pa.array(k1 & ((1 << NODE_BITS) - 1)), pa.array(sizes.astype(np.int32)), *(pa.array(parity[:, k].copy()) for k in range(4)), m, lists(keys, np.full(len(ids), BLOCKS))],
+                names=["node", "n", "p0", "p1", "p2", "p3", "m", "keys"],
             )
 
     return run
 
 
-def signatures(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """`id, k1, k2, low, high, blocks` of every record of `min_words` words or more; NULL ids are left out."""
-    return (
-        df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .where("id is not null and text is not null")
-        .mapInArrow(_sign(min_words), "id long, k1 long, k2 long, low long, high long, blocks array<int>")
-    )
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+
+
+def keys(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """`id, k1, k2` of every record of `min_words` words or more; NULL ids are left out."""
+    return _texts(df, id_col, text_col).mapInArrow(_bags(min_words, False, 1.0), "id long, k1 long, k2 long")
+
+
+def _by_blocks(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, threshold: float, min_words: int) -> DataFrame:
+    """Candidates `rep_a, rep_b` that share a block and whose Hamming distance allows the threshold.
+
+    Records meet under the key of their bag, so copies never do: a task sends the blocks of a bag once, and what
+    several tasks send alike is one row before the join."""
+    sent = _texts(df, id_col, text_col).mapInArrow(_bags(min_words, True, threshold), "node long, n int, p0 long, p1 long, p2 long, p3 long, m array<long>, keys array<long>")
+    payload = ("n", "p0", "p1", "p2", "p3", "m")
+    keyed = sent.select(F.explode("keys").alias("block"), "node", *payload).repartition("block").distinct()
+    a, b = (keyed.select("block", *[F.col(c).alias(f"{c}_{s}") for c in ("node", *payload)]) for s in "ab")
+    shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - threshold) / (1 + threshold)) + 1e-9
+    near = F.when(longer < LONG, _apart(shorter) <= most).otherwise(_different() <= _symbol_limit(threshold))
+    pairs = a.join(b, "block").where((F.col("node_a") < F.col("node_b")) & (shorter >= threshold * longer - 1e-9) & near).select("node_a", "node_b").distinct()
+    for s in "ab":
+        pairs = pairs.join(classes.select(F.col("node").alias(f"node_{s}"), F.col("rep").alias(f"rep_{s}")), f"node_{s}")
+    return pairs.select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b"))
+
+
+def _by_prefixes(df: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int) -> DataFrame:
+    """Candidates `rep_a, rep_b`: all that share a token of their prefixes."""
+    signed = prefix.ordered(_texts(df, id_col, text_col), min_words)
+    classes = signed.groupBy("k1", "k2").agg(F.min(F.struct("id", "p1", "p2", "tokens")).alias("r")).select(F.col("r.id").alias("rep"), "r.p1", "r.p2", "r.tokens")
+    entries = prefix.entries(cut(classes), threshold)
+    return prefix.meet(entries, entries, threshold).where("rep_l < rep_r").distinct().select(F.col("rep_l").alias("rep_a"), F.col("rep_r").alias("rep_b"))
 
 
 def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
@@ -116,66 +206,43 @@ def _tokens(wanted):
     return run
 
 
-def similarity(a: Column, b: Column) -> Column:
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
-
-
-def representative_links(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(members, links): `members(rep, id)` has one row per record, `rep` being the least id with the same bag;
-    `links(rep_a, rep_b)` are the pairs of representatives, `rep_a < rep_b`, at least `threshold` alike.
-
-    Copies never meet in the block join, so a group of copies costs one fingerprint however large it is.
+def representative_links(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, exact: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, spanning, links): `members(rep, id)` has one row per record, `rep` being the least id with the same bag,
+    `spanning` the classes that fill whole partitions; `links(rep_a, rep_b)` are the pairs of representatives,
+    `rep_a < rep_b`, at least `threshold` alike.
     """
-    signed = cut(signatures(df, id_col, text_col, min_words))
-    # partial aggregation leaves one row per bag and task before the exchange, however many copies there are
-    reps = signed.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    members = signed.select("id", "k1", "k2").join(reps, ["k1", "k2"]).select("rep", "id")
-
-    classes = signed.groupBy("k1", "k2").agg(F.min(F.struct("id", "low", "high", "blocks")).alias("r"))
-    # half-size blocks move half the bytes; chance meetings only cost a comparison. The number of a block is part of its key
-    blocks = classes.select("r", F.posexplode("r.blocks").alias("number", "value"))
-    keyed = blocks.select(F.expr("shiftleft(cast(number as bigint), 32) | (cast(value as bigint) & 4294967295)").alias("block"), F.col("r.id").alias("rep"), "r.low", "r.high")
-    a, b = (keyed.select("block", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "low", "high"))) for s in "ab")
-    near = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
-    candidates = (
-        a.join(b, "block")
-        .where((F.col("rep_a") < F.col("rep_b")) & (near <= _hamming_limit(threshold)))
-        .select("rep_a", "rep_b")
-        .distinct()
-    )
-    candidates = cut(candidates)
+    members, spanning = run_leads(keys(df, id_col, text_col, min_words), ["k1", "k2"], "id")
+    classes = members.where("id = lead").select((F.col("k1").bitwiseAND(F.lit((1 << NODE_BITS) - 1))).alias("node"), F.col("lead").alias("rep"))
+    candidates = cut(_by_prefixes(df, id_col, text_col, threshold, min_words) if exact else _by_blocks(df, id_col, text_col, classes, threshold, min_words))
     # a bitmap of the candidates' ids goes to the texts, so that other texts are neither hashed again nor moved
     wanted = df.sparkSession.sparkContext.broadcast(_bitmap(candidates.select(F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct(), "id"))
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    tokens = texts.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_tokens(wanted), "id long, tokens array<int>")
+    tokens = _texts(df, id_col, text_col).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_tokens(wanted), "id long, tokens array<int>")
     links = (
         candidates.join(tokens.select(F.col("id").alias("rep_a"), F.col("tokens").alias("ta")), "rep_a")
         .join(tokens.select(F.col("id").alias("rep_b"), F.col("tokens").alias("tb")), "rep_b")
         .where(similarity(F.col("ta"), F.col("tb")) >= threshold)
         .select("rep_a", "rep_b")
     )
-    return members, links
+    return members.select(F.col("lead").alias("rep"), "id"), spanning, links
 
 
-def pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, exact: bool = False) -> DataFrame:
     """All pairs `id_a < id_b`, copies included. NULL, empty and short texts are in no pair."""
-    members, links = representative_links(df, id_col, text_col, threshold, min_words)
-    members = cut(members)
-    left, right = (members.select(F.col("rep").alias(f"rep_{s}"), F.col("id").alias(f"id_{s}")) for s in "ab")
-    across = links.join(left, "rep_a").join(right, "rep_b").select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
-    within = left.join(right, F.col("rep_a") == F.col("rep_b")).where("id_a < id_b").select("id_a", "id_b")
+    members, spanning, links = representative_links(df, id_col, text_col, threshold, min_words, exact)
+    across = expand(expand(links, "rep_a", members, "rep", {"id": "id_a"}, spanning), "rep_b", members, "rep", {"id": "id_b"}, spanning)
+    across = across.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+    within = expand(members.select("rep", F.col("id").alias("id_a")), "rep", members, "rep", {"id": "id_b"}, spanning).where("id_a < id_b").select("id_a", "id_b")
     return across.unionByName(within)
 
 
-def groups(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def groups(df: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, exact: bool = False) -> DataFrame:
     """`id, group_id, copies, links` for every record of `min_words` or more: `group_id` is the least id reachable
     over links, `copies` the records with the very same bag, `links` the other bags it is linked to."""
-    members, links = representative_links(df, id_col, text_col, threshold, min_words)
-    members, links = cut(members), cut(links)
+    members, spanning, links = representative_links(df, id_col, text_col, threshold, min_words, exact)
+    links = cut(links)
     component = connected_components(links, "rep_a", "rep_b")
     degree = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     copies = members.groupBy("rep").agg(F.count("*").alias("copies"))
     per_rep = copies.join(degree, "rep", "left").join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")
     per_rep = per_rep.select("rep", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("group_id"))
-    return members.join(per_rep, "rep").select("id", "group_id", "copies", "links")
+    return expand(per_rep, "rep", members, "rep", {"id": "id"}, spanning).select("id", "group_id", "copies", "links")

@@ -1,28 +1,19 @@
 """Exact and near-exact overlaps between splits: a bipartite prefix-filter join on the rarest words.
 
-Tokens are ordered from rare to common. Two records of similarity t or more share a token among the first
-n - ceil(t n) + 1 of each, so evaluation prefixes are indexed, training prefixes probe the index, and length and
-position filters, and bitmaps of the bags whose distance bounds the bags' difference from below, drop pairs that
-can't reach t. The filters lose nothing: any total order of the tokens is right,
-and rarity, counted over all records in a sketch of fixed size, only makes it fast.
+Evaluation prefixes are indexed and training prefixes probe the index (`prefix`); what passes the filters is verified
+on the whole bags.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import expand, run_leads
 from ..runtime import cut
-from .neardup import similarity
-from .words import Hasher, as_int32, bag_keys, bags, parity_bits
+from . import prefix
+from .prefix import similarity
 
-#: Counters of the rarity sketch: the most rows that reach the driver, whatever the input.
-SKETCH = 1 << 18
 MIN_WORDS, THRESHOLD = 20, 0.7
 
 
@@ -42,71 +33,19 @@ def plain_split(split: Column, path: Column | None = None) -> Column:
     return F.coalesce(own, read(F.lower(F.regexp_extract(path, r"(?i)(?:^|/)(train|valid|test)(?:/|_|$)", 1))))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher, total = Hasher(), np.zeros(SKETCH, np.int64)
-    for batch in batches:
-        tokens, _ = bags(batch.column(0).to_pylist(), hasher)
-        total += np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-    at = np.nonzero(total)[0]
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
-
-
-def rarity(df: DataFrame, text_col: str) -> np.ndarray:
-    """How often the tokens of each of the SKETCH buckets occur in all records."""
-    counted = df.select(text_col).where(F.col(text_col).isNotNull()).mapInArrow(_count, "bucket long, n long")
-    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(SKETCH, np.int64)
-    out[found.bucket.to_numpy()] = found.n.to_numpy()
-    return out
-
-
-def _order(counts, min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, rare = Hasher(), counts.value
-        for batch in batches:
-            tokens, sizes = bags(batch.column(2).to_pylist(), hasher)
-            keep = sizes >= max(1, min_words)
-            tokens, sizes = tokens[np.repeat(keep, sizes)], sizes[keep]
-            k1, k2 = bag_keys(tokens, sizes)
-            parity = parity_bits(tokens, sizes)
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            tokens = tokens[np.lexsort((tokens, rare[(tokens % np.uint64(SKETCH)).astype(np.int64)], doc))]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            kept = pa.array(keep)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(k1), pa.array(k2), pa.array(parity[:, 0].copy()), pa.array(parity[:, 1].copy()), pa.ListArray.from_arrays(offsets, pa.array(as_int32(tokens)))],
-                names=["id", "train", "k1", "k2", "p1", "p2", "tokens"],
-            )
-
-    return run
-
-
-def cross_links(records: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(members, links) of `records(id, train, text)`: `members(id, train, rep)` and linked bags `links(eval_rep, train_rep)`.
+def cross_links(records: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, spanning, links) of `records(id, train, text)`: `members(id, train, rep)`, the classes that fill whole
+    partitions, and linked bags `links(eval_rep, train_rep)`.
 
     Records with the same bag of words and the same side are one class, whose `rep` is their least id.
     """
-    spark = records.sparkSession
     records = records.where("id is not null and train is not null and text is not null").select("id", "train", "text")
-    counts = spark.sparkContext.broadcast(rarity(records, "text"))
-    ordered = cut(records.mapInArrow(_order(counts, min_words), "id long, train boolean, k1 long, k2 long, p1 long, p2 long, tokens array<int>"))
+    ordered = cut(prefix.ordered(records, min_words))
     classes = cut(ordered.groupBy("train", "k1", "k2").agg(F.min(F.struct("id", "p1", "p2", "tokens")).alias("r")).select("train", "k1", "k2", F.col("r.id").alias("rep"), "r.p1", "r.p2", "r.tokens"))
-    members = ordered.select("id", "train", "k1", "k2").join(classes.select("train", "k1", "k2", "rep"), ["train", "k1", "k2"]).select("id", "train", "rep")
-
-    n = F.size("tokens")
-    prefix = n - F.ceil(F.lit(threshold) * n - 1e-9).cast("int") + 1
-    entries = classes.select("train", "rep", "p1", "p2", n.alias("n"), F.posexplode(F.slice("tokens", 1, prefix)).alias("at", "token"))
-    index = entries.where("not train").select("token", F.col("rep").alias("eval_rep"), F.col("n").alias("n_e"), F.col("at").alias("at_e"), F.col("p1").alias("p1_e"), F.col("p2").alias("p2_e"))
-    probe = entries.where("train").select("token", F.col("rep").alias("train_rep"), F.col("n").alias("n_t"), F.col("at").alias("at_t"), F.col("p1").alias("p1_t"), F.col("p2").alias("p2_t"))
-    # holds for the first common token of every true pair: none is common before it, so the rest must do
-    needed = F.lit(threshold / (1 + threshold)) * (F.col("n_e") + F.col("n_t")) - 1e-9
-    apart = F.bit_count(F.col("p1_e").bitwiseXOR(F.col("p1_t"))) + F.bit_count(F.col("p2_e").bitwiseXOR(F.col("p2_t")))
-    candidates = (
-        index.join(probe, "token")
-        .where((apart <= F.col("n_e") + F.col("n_t") - 2 * needed) & (F.least("n_e", "n_t") >= threshold * F.greatest("n_e", "n_t") - 1e-9) & (F.least(F.col("n_e") - F.col("at_e"), F.col("n_t") - F.col("at_t")) >= needed))
-        .select("eval_rep", "train_rep")
-        .distinct()
-    )
+    members, spanning = run_leads(ordered.select(F.col("train").cast("long").alias("side"), "k1", "k2", "id"), ["side", "k1", "k2"], "id")
+    members = members.select("id", (F.col("side") == 1).alias("train"), F.col("lead").alias("rep"))
+    entries = prefix.entries(classes.select("train", "rep", "p1", "p2", "tokens"), threshold)
+    candidates = prefix.meet(entries.where("not train"), entries.where("train"), threshold).select(F.col("rep_l").alias("eval_rep"), F.col("rep_r").alias("train_rep")).distinct()
     side = lambda train, name: classes.where("train" if train else "not train").select(F.col("rep").alias(f"{name}_rep"), F.col("tokens").alias(name))
     links = (
         candidates.join(side(False, "eval"), "eval_rep")
@@ -114,7 +53,7 @@ def cross_links(records: DataFrame, threshold: float = THRESHOLD, min_words: int
         .where(similarity(F.col("eval"), F.col("train")) >= threshold)
         .select("eval_rep", "train_rep", similarity(F.col("eval"), F.col("train")).alias("similarity"))
     )
-    return members, links
+    return members, spanning, links
 
 
 def prepare(df: DataFrame, id_col: str, text_col: str, split_col: str, path_col: str | None = None) -> DataFrame:
@@ -124,19 +63,18 @@ def prepare(df: DataFrame, id_col: str, text_col: str, split_col: str, path_col:
 
 def pairs(df: DataFrame, id_col: str, text_col: str, split_col: str, path_col: str | None = None, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """`eval_id, train_id, similarity` of all overlapping pairs. Records whose split or text is NULL are in none."""
-    members, links = cross_links(prepare(df, id_col, text_col, split_col, path_col), threshold, min_words)
-    members = cut(members)
-    e = members.where("not train").select(F.col("rep").alias("eval_rep"), F.col("id").alias("eval_id"))
-    t = members.where("train").select(F.col("rep").alias("train_rep"), F.col("id").alias("train_id"))
-    return links.join(e, "eval_rep").join(t, "train_rep").select("eval_id", "train_id", "similarity")
+    members, spanning, links = cross_links(prepare(df, id_col, text_col, split_col, path_col), threshold, min_words)
+    e, t = members.where("not train"), members.where("train")
+    both = expand(expand(links, "eval_rep", e, "rep", {"id": "eval_id"}, spanning), "train_rep", t, "rep", {"id": "train_id"}, spanning)
+    return both.select("eval_id", "train_id", "similarity")
 
 
 def report(df: DataFrame, id_col: str, text_col: str, split_col: str, source_col: str, path_col: str | None = None, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """`split, source, records, overlapping, pairs` of the evaluation splits; works on classes, so copies stay unexpanded."""
-    members, links = cross_links(prepare(df, id_col, text_col, split_col, path_col), threshold, min_words)
+    members, spanning, links = cross_links(prepare(df, id_col, text_col, split_col, path_col), threshold, min_words)
     copies = members.where("train").groupBy(F.col("rep").alias("train_rep")).agg(F.count("*").alias("n"))
     partners = links.join(copies, "train_rep").groupBy(F.col("eval_rep").alias("rep")).agg(F.sum("n").alias("n"))
-    hits = members.where("not train").join(partners, "rep").select("id", "n")
+    hits = expand(partners, "rep", members.where("not train"), "rep", {"id": "id"}, spanning).select("id", "n")
     split = plain_split(F.col(split_col), F.col(path_col) if path_col else None)
     base = df.select(F.col(id_col).cast("long").alias("id"), split.alias("split"), F.col(source_col).alias("source")).where("split <> 'train'")
     return (

@@ -123,3 +123,39 @@ def test_overlaps_of_nothing(spark):
     empty = spark.createDataFrame([], "rec_id long, text string, split string, source string")
     assert overlap.pairs(empty, "rec_id", "text", "split").count() == 0
     assert overlap.report(empty, "rec_id", "text", "split", "source").count() == 0
+
+
+def test_the_exact_way_finds_all(spark):
+    texts = [*corpus(3), None, "", "too short"]
+    for g in range(60):
+        common = [f"g{g}c{i}" for i in range(28)]
+        texts += [" ".join([*common, *(f"g{g}{s}{i}" for i in range(6))]) for s in "ab"]
+    got = {tuple(r) for r in neardup.pairs(frame(spark, texts), "row_id", "text", exact=True).collect()}
+    assert got == brute(texts)
+
+
+def test_parities_fold_and_bound_the_difference():
+    rng = random.Random(4)
+    for n in (30, 63, 64, 100, 128, 200):
+        a = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        b = [w if rng.random() > 0.15 else w + "x" for w in a] + ["y"] * rng.randrange(9)
+        tokens, sizes = bags([" ".join(a), " ".join(b)], Hasher())
+        x, y = neardup.nested_parity(tokens, sizes)
+        d = [int(p) ^ int(q) for p, q in zip(x, y)]
+        bits = lambda v: bin(v & (2**64 - 1)).count("1")
+        apart = bits(d[0]) if n < 64 else bits(d[0] ^ d[1]) + bits(d[1]) if n < 128 else bits(d[0] ^ d[1] ^ d[2]) + bits(d[1] ^ d[3]) + bits(d[2]) + bits(d[3])
+        difference = len(set(tokens[: sizes[0]].tolist()) ^ set(tokens[sizes[0] :].tolist()))
+        assert 0 < apart <= difference and (difference - apart) % 2 == 0
+
+
+def test_long_records_of_one_vocabulary(spark):
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(900)]
+    texts = []
+    for _ in range(30):
+        base = [rng.choice(vocabulary) for _ in range(rng.randrange(240, 700))]
+        texts.append(" ".join(base))
+        texts.append(" ".join(w for w in base if rng.random() > 0.12))
+        texts.append(" ".join(w if rng.random() > 0.15 else rng.choice(vocabulary) for w in base))
+    got = {tuple(r) for r in neardup.pairs(frame(spark, texts), "row_id", "text").collect()}
+    assert got == brute(texts) and len(got) >= 50
