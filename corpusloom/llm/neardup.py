@@ -6,8 +6,8 @@ probability 1 - (1 - J^ROWS)^BLOCKS at similarity J: all but 2 in 100,000 at 0.7
 
 The join itself checks Hamming distances. Bags of fewer than LONG words carry parity bits: a word that two bags don't
 share changes one bit at most, so the distance bounds the difference of the bags from below and the check loses
-nothing. Longer bags carry their fingerprint, four bits a symbol, and its distance may exceed the mean at the
-threshold by five standard deviations. The few pairs left are checked on the words themselves.
+nothing. Longer bags carry a longer fingerprint, one bit a symbol, and its distance may exceed the mean at the threshold
+by five standard deviations. The few pairs left are checked on the words themselves.
 
 `exact=True` takes the candidates from an exact prefix filter instead: it loses no pair at any similarity, at the price
 of many more meetings in corpora of few different words.
@@ -15,12 +15,14 @@ of many more meetings in corpora of few different words.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.graph import connected_components
 from ..operators.skew import expand, run_leads
@@ -33,8 +35,8 @@ from .words import Hasher, as_int32, bag_keys, bags, mix, parity_bits
 BLOCKS, ROWS = 40, 4
 #: Shortest record in words, least similarity of a pair.
 MIN_WORDS, THRESHOLD = 20, 0.7
-#: Words from which on 64, 128 and 256 parity bits are compared; from LONG words on it is the fingerprint.
-WIDER, LONG = (64, 128), 256
+#: Words from which on 64, 128 and 256 parity bits are compared; from LONG words on it is the fingerprint's bits.
+WIDER, LONG, BITS = (64, 128), 256, 768
 #: Most bits, as a power of two, of the bitmap of candidates that is broadcast.
 BITMAP_LOG = 28
 #: Bits of a bag's key by which it is known in the block join; bags that share them are told apart afterwards.
@@ -42,34 +44,41 @@ NODE_BITS = 48
 #: Bags whose blocks a task remembers having sent already.
 _SEEN = 1 << 20
 _U = np.uint64
-_PER_WORD = 16  # symbols of four bits in a word of 64
-_WORDS = BLOCKS * ROWS // _PER_WORD
+_WORDS = BITS // 64
 
 
-def _symbol_limit(threshold: float) -> int:
-    """Differing four-bit symbols allowed: the mean at the threshold and five standard deviations."""
-    p = (1 - threshold) * 15 / 16
-    n = BLOCKS * ROWS
-    return int(n * p + 5 * (n * p * (1 - p)) ** 0.5)
+def _bit_limit(threshold: float) -> int:
+    """Differing bits allowed: the mean at the threshold and five standard deviations."""
+    p = (1 - threshold) / 2
+    return int(BITS * p + 5 * (BITS * p * (1 - p)) ** 0.5)
 
 
 def _seeds(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0x2545F4914F6CDD1D)) | _U(1)
 
 
-def fingerprints(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(blocks, symbols) of bags none of which is empty: (n, BLOCKS) hashes of 32 bits of the symbols of each block, and
-    all symbols, four bits each, as (n, _WORDS) words of 64 bits."""
-    starts = np.cumsum(sizes) - sizes
-    n = len(sizes)
+def fingerprints(tokens: np.ndarray, sizes: np.ndarray, long: float = LONG) -> tuple[np.ndarray, np.ndarray]:
+    """(blocks, bits) of bags none of which is empty: (n, BLOCKS) hashes of 32 bits of the symbols of each block, and the
+    lowest bits of BITS symbols, the blocks' first, in words of 64 for each bag of `long` tokens or more."""
+    n, many = len(sizes), sizes >= long
     blocks = np.zeros((n, BLOCKS), _U)
-    symbols = np.zeros((n, _WORDS), _U)
-    for k, seed in enumerate(_seeds(BLOCKS * ROWS)):
-        symbol = mix(np.minimum.reduceat((tokens * seed) >> _U(24), starts))
+    bits = np.zeros((int(many.sum()), _WORDS), _U)
+    starts = np.cumsum(sizes) - sizes
+    wide = tokens[np.repeat(many, sizes)]
+    wide_starts = np.cumsum(sizes[many]) - sizes[many]
+    for k, seed in enumerate(_seeds(max(BITS, BLOCKS * ROWS))):
         b = k // ROWS
-        blocks[:, b] = mix(blocks[:, b] ^ symbol ^ _U(b + 1))
-        symbols[:, k // _PER_WORD] |= (symbol & _U(15)) << _U(k % _PER_WORD * 4)
-    return blocks >> _U(32), symbols.view(np.int64)
+        if b < BLOCKS:
+            symbol = mix(np.minimum.reduceat((tokens * seed) >> _U(24), starts))
+            blocks[:, b] = mix(blocks[:, b] ^ symbol ^ _U(b + 1))
+            symbol = symbol[many]
+        elif len(bits):
+            symbol = mix(np.minimum.reduceat((wide * seed) >> _U(24), wide_starts))
+        else:
+            break
+        if k < BITS:
+            bits[:, k // 64] |= (symbol & _U(1)) << _U(k % 64)
+    return blocks >> _U(32), bits.view(np.int64)
 
 
 def nested_parity(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -91,52 +100,48 @@ def _apart(n: Column) -> Column:
 
 
 def _different() -> Column:
-    """Differing four-bit symbols of the arrays m_a and m_b."""
-    out = F.lit(0)
-    for k in range(_WORDS):
-        x = F.get("m_a", F.lit(k)).bitwiseXOR(F.get("m_b", F.lit(k)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        out = out + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return out
+    """Differing bits of the arrays m_a and m_b."""
+    return functools.reduce(lambda a, b: a + b, [F.bit_count(F.col("m_a")[k].bitwiseXOR(F.col("m_b")[k])) for k in range(_WORDS)])
+
 
+_SIGNED = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("id", "k1", "k2")]
+    + [T.StructField("n", T.IntegerType())]
+    + [T.StructField(f"p{k}", T.LongType()) for k in range(4)]
+    + [T.StructField("m", T.ArrayType(T.LongType(), False)), T.StructField("blocks", T.ArrayType(T.IntegerType(), False))]
+)
 
-def _bags(min_words: int, with_blocks: bool, reach: float):
-    """Keys of the bags of a batch, or their blocks; a bag's blocks are sent once a task."""
 
+def _sign(min_words: int, long: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             tokens, sizes = bags(batch.column(1).to_pylist(), hasher)
             keep = sizes >= max(1, min_words)
-            if with_blocks:
-                k1, k2 = bag_keys(tokens, sizes)
-                if len(seen) > _SEEN:
-                    seen.clear()
-                for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
-                    if key in seen:
-                        keep[i] = False
-                    elif keep[i]:
-                        seen.add(key)
-            tokens, ids, sizes = tokens[np.repeat(keep, sizes)], ids[keep], sizes[keep]
+            tokens, ids, sizes = tokens[np.repeat(keep, sizes)], batch.column(0).filter(pa.array(keep)), sizes[keep]
             if not len(ids):
                 continue
             k1, k2 = bag_keys(tokens, sizes)
-            if not with_blocks:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(k1), pa.array(k2)], names=["id", "k1", "k2"])
-                continue
-            blocks, symbols = fingerprints(tokens, sizes)
-            # the number of a block is part of its key
-            keys = (blocks | (np.arange(BLOCKS, dtype=_U) << _U(32))).view(np.int64)
-            parity = nested_parity(tokens, sizes)
-            parity[sizes >= LONG] = 0
-            long = sizes >= reach * LONG
-            lists = lambda a, of: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of)]).astype(np.int32)), pa.array(a.ravel()))
-            m = lists(symbols[long], np.where(long, _WORDS, 0))
+            if len(seen) > _SEEN:
+                seen.clear()
+            fresh = np.zeros(len(ids), bool)
+            for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
+                if key not in seen:
+                    seen.add(key)
+                    fresh[i] = True
+            # a bag that this task has signed already is only counted
+            tokens, first = tokens[np.repeat(fresh, sizes)], sizes[fresh]
+            parity = np.zeros((len(ids), 4), np.int64)
+            m, blocks = np.zeros((0, _WORDS), np.int64), np.zeros((0, BLOCKS), _U)
+            if len(first):
+                blocks, m = fingerprints(tokens, first, long)
+                parity[fresh] = nested_parity(tokens, first)
+                parity[sizes >= LONG] = 0
+            lists = lambda a, size: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(a.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k1 & ((1 << NODE_BITS) - 1)), pa.array(sizes.astype(np.int32)), *(pa.array(parity[:, k].copy()) for k in range(4)), m, lists(keys, np.full(len(ids), BLOCKS))],
-                names=["node", "n", "p0", "p1", "p2", "p3", "m", "keys"],
+                [ids, pa.array(k1), pa.array(k2), pa.array(sizes.astype(np.int32)), *(pa.array(parity[:, k].copy()) for k in range(4))]
+                + [lists(m, np.where(fresh & (sizes >= long), _WORDS, 0)), lists(blocks.astype(np.uint32).view(np.int32), np.where(fresh, BLOCKS, 0))],
+                names=_SIGNED.names,
             )
 
     return run
@@ -146,23 +151,29 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
 
 
-def keys(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """`id, k1, k2` of every record of `min_words` words or more; NULL ids are left out."""
-    return _texts(df, id_col, text_col).mapInArrow(_bags(min_words, False, 1.0), "id long, k1 long, k2 long")
+def signatures(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """`id, k1, k2, n` of every record of `min_words` words or more, and its parities, bits and blocks where a task meets
+    its bag for the first time; NULL ids are left out."""
+    return _texts(df, id_col, text_col).mapInArrow(_sign(min_words, threshold * LONG), _SIGNED)
+
+
+def _node() -> Column:
+    return F.col("k1").bitwiseAND(F.lit((1 << NODE_BITS) - 1))
 
 
-def _by_blocks(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, threshold: float, min_words: int) -> DataFrame:
+def _by_blocks(signed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Candidates `rep_a, rep_b` that share a block and whose Hamming distance allows the threshold.
 
     Records meet under the key of their bag, so copies never do: a task sends the blocks of a bag once, and what
-    several tasks send alike is one row before the join."""
-    sent = _texts(df, id_col, text_col).mapInArrow(_bags(min_words, True, threshold), "node long, n int, p0 long, p1 long, p2 long, p3 long, m array<long>, keys array<long>")
+    several tasks send alike is one row before the join. The number of a block is part of its key."""
     payload = ("n", "p0", "p1", "p2", "p3", "m")
-    keyed = sent.select(F.explode("keys").alias("block"), "node", *payload).repartition("block").distinct()
+    sent = signed.select(_node().alias("node"), *payload, F.posexplode("blocks").alias("number", "value"))
+    key = F.expr("shiftleft(cast(number as bigint), 32) | (cast(value as bigint) & 4294967295)")
+    keyed = sent.select(key.alias("block"), "node", *payload).repartition("block").distinct()
     a, b = (keyed.select("block", *[F.col(c).alias(f"{c}_{s}") for c in ("node", *payload)]) for s in "ab")
     shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - threshold) / (1 + threshold)) + 1e-9
-    near = F.when(longer < LONG, _apart(shorter) <= most).otherwise(_different() <= _symbol_limit(threshold))
+    near = F.when(longer < LONG, _apart(shorter) <= most).otherwise(_different() <= _bit_limit(threshold))
     pairs = a.join(b, "block").where((F.col("node_a") < F.col("node_b")) & (shorter >= threshold * longer - 1e-9) & near).select("node_a", "node_b").distinct()
     for s in "ab":
         pairs = pairs.join(classes.select(F.col("node").alias(f"node_{s}"), F.col("rep").alias(f"rep_{s}")), f"node_{s}")
@@ -171,8 +182,8 @@ def _by_blocks(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, th
 
 def _by_prefixes(df: DataFrame, id_col: str, text_col: str, threshold: float, min_words: int) -> DataFrame:
     """Candidates `rep_a, rep_b`: all that share a token of their prefixes."""
-    signed = prefix.ordered(_texts(df, id_col, text_col), min_words)
-    classes = signed.groupBy("k1", "k2").agg(F.min(F.struct("id", "p1", "p2", "tokens")).alias("r")).select(F.col("r.id").alias("rep"), "r.p1", "r.p2", "r.tokens")
+    ordered = prefix.ordered(_texts(df, id_col, text_col), min_words)
+    classes = ordered.groupBy("k1", "k2").agg(F.min(F.struct("id", "p1", "p2", "tokens")).alias("r")).select(F.col("r.id").alias("rep"), "r.p1", "r.p2", "r.tokens")
     entries = prefix.entries(cut(classes), threshold)
     return prefix.meet(entries, entries, threshold).where("rep_l < rep_r").distinct().select(F.col("rep_l").alias("rep_a"), F.col("rep_r").alias("rep_b"))
 
@@ -211,9 +222,10 @@ def representative_links(df: DataFrame, id_col: str, text_col: str, threshold: f
     `spanning` the classes that fill whole partitions; `links(rep_a, rep_b)` are the pairs of representatives,
     `rep_a < rep_b`, at least `threshold` alike.
     """
-    members, spanning = run_leads(keys(df, id_col, text_col, min_words), ["k1", "k2"], "id")
-    classes = members.where("id = lead").select((F.col("k1").bitwiseAND(F.lit((1 << NODE_BITS) - 1))).alias("node"), F.col("lead").alias("rep"))
-    candidates = cut(_by_prefixes(df, id_col, text_col, threshold, min_words) if exact else _by_blocks(df, id_col, text_col, classes, threshold, min_words))
+    signed = cut(signatures(df, id_col, text_col, min_words, threshold))
+    members, spanning = run_leads(signed, ["k1", "k2"], "id")
+    classes = members.where("id = lead").select(_node().alias("node"), F.col("lead").alias("rep"))
+    candidates = cut(_by_prefixes(df, id_col, text_col, threshold, min_words) if exact else _by_blocks(signed, classes, threshold))
     # a bitmap of the candidates' ids goes to the texts, so that other texts are neither hashed again nor moved
     wanted = df.sparkSession.sparkContext.broadcast(_bitmap(candidates.select(F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct(), "id"))
     tokens = _texts(df, id_col, text_col).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_tokens(wanted), "id long, tokens array<int>")
