@@ -35,12 +35,13 @@ from .words import Hasher, as_int32, bag_keys, bags, mix, parity_bits
 BLOCKS, ROWS = 40, 4
 #: Shortest record in words, least similarity of a pair.
 MIN_WORDS, THRESHOLD = 20, 0.7
-#: Words from which on 64, 128 and 256 parity bits are compared; from LONG words on it is the fingerprint's bits.
-WIDER, LONG, BITS = (64, 128), 256, 768
+#: Words from which on a bag has 128 and 256 parity bits rather than 64, so that chance hardly stays below the limit;
+#: from LONG words on it has the fingerprint's BITS instead.
+WIDER, LONG, BITS = (48, 96), 256, 768
 #: Most bits, as a power of two, of the bitmap of candidates that is broadcast.
 BITMAP_LOG = 28
 #: Bits of a bag's key by which it is known in the block join; bags that share them are told apart afterwards.
-NODE_BITS = 48
+NODE_BITS = 40
 #: Bags whose blocks a task remembers having sent already.
 _SEEN = 1 << 20
 _U = np.uint64
