@@ -23,12 +23,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
 
 
+#: Rows of a partition that `by_id` aims at.
+BLOCK_ROWS = 1 << 18
+
+
+def by_id(df: DataFrame, id_col: str, rows: int, *first: str) -> DataFrame:
+    """The rows dealt out by the hash of their id, in order of the columns `first`, that hash and the id.
+
+    How many partitions there are depends on `rows`, the number of rows, alone, so what is drawn along them is the same on
+    every cluster and for every layout of the input."""
+    return df.repartition(-(-max(rows, 1) // BLOCK_ROWS), F.col(id_col)).sortWithinPartitions(*first, F.xxhash64(id_col), id_col)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a private one only where none is configured (tests)."""
+    """Use the cluster's shared checkpoint folder; a private one only on a local master without one (tests)."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusloom-"))
 
 
