@@ -9,15 +9,16 @@ depend on the number of documents with a given size. Rates become whole copies b
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import cut, small
+from ..runtime import by_id, cut, small
 
 #: Newton stops when every reachable target is met to this relative error.
 TOLERANCE, MAX_ROUNDS = 1e-4, 60
@@ -33,18 +34,18 @@ def word_sizes(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\s\x{1c}-\x{1f}\x{85}\p{Z}]+")), F.lit(0)).cast("long")
 
 
-def token_sizes(path: str, pattern: str):
-    """A function of a text column: tokens of the byte-pair vocabulary in the file `path` (tiktoken ranks)."""
+def token_sizes(spark: SparkSession, path: str, pattern: str):
+    """A function of a text column: tokens of the byte-pair vocabulary in the file `path` (tiktoken ranks).
+
+    The file, of fixed size, is read once by the driver; executors get its ranks by broadcast."""
+    with open(path, "rb") as f:
+        ranks = spark.sparkContext.broadcast({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import base64
-
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
         for s in texts:
             yield pd.Series([0 if t is None else len(coder.encode_ordinary(t)) for t in s], dtype="int64")
 
@@ -126,7 +127,8 @@ class Mixture:
         self.histogram = cut(self.sized.groupBy("source", "size").agg(F.count("*").alias("n")))
         self.targets = {r[0]: (float(r[1] or 0.0), int(r[2] or 0)) for r in small(targets) if r[0] is not None}
         wanted = self.spark.createDataFrame([(s,) for s in self.targets], "source string")
-        self.size = int(self.histogram.agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0)
+        whole = self.histogram.agg(F.sum("n"), F.sum(F.col("n") * F.col("size"))).first()
+        self.count, self.size = int(whole[0] or 0), int(whole[1] or 0)
         self.total = float(self.size if total is None else total)
         # only sources with a target come to the driver, which the table of targets bounds
         have = self.histogram.join(F.broadcast(wanted), "source").groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("size")).collect()
@@ -138,11 +140,14 @@ class Mixture:
         return max(1.0, self.have[source]["size"] / self.have[source]["n"])
 
     def documents(self) -> DataFrame:
-        """`id, source, size, copies` of the documents used, `copies` at most the source's repeats."""
+        """`id, source, size, copies` of the documents used, `copies` at most the source's repeats.
+
+        Documents are dealt out by their ids, so the copies don't depend on the cluster or the layout of the input."""
         rows = [(s, float(v["tilt"]), float(v["cap"]), self._mean(s), v["kind"] == "short") for s, v in self.state.items() if s in self.have and v["kind"] != "empty"]
         at = self.spark.createDataFrame(rows, "source string, tilt double, cap double, mean double, short boolean")
         rate = F.when(F.col("short"), F.col("cap")).otherwise(F.least(F.exp(F.col("tilt") * F.col("size") / F.col("mean")), F.col("cap")))
-        rated = self.sized.join(F.broadcast(at), "source").select("id", "source", "size", rate.alias("rate")).sortWithinPartitions("source", "size", "id")
+        rated = self.sized.join(F.broadcast(at), "source").select("id", "source", "size", rate.alias("rate"))
+        rated = by_id(rated, "id", self.count, "source", "size")
         return rated.mapInArrow(_systematic, f"id {self.sized.schema['id'].dataType.simpleString()}, source string, size long, copies long")
 
     def report(self) -> DataFrame:

@@ -108,18 +108,18 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir, mixing.word_sizes).report().where("short").select("source")
 
 
-def _tokens(tokenizer: str | None = None):
+def _tokens(spark: SparkSession, tokenizer: str | None = None):
     import public_tokenizers
 
-    return mixing.token_sizes(tokenizer or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return mixing.token_sizes(spark, tokenizer or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def p9_report(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
-    return _mixture(spark, sf_dir, _tokens(tokenizer)).report()
+    return _mixture(spark, sf_dir, _tokens(spark, tokenizer)).report()
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
-    return _mixture(spark, sf_dir, _tokens(tokenizer)).documents().withColumnRenamed("id", "doc_id")
+    return _mixture(spark, sf_dir, _tokens(spark, tokenizer)).documents().withColumnRenamed("id", "doc_id")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,16 +12,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import reads_as  # noqa: F401  (part of this operator's interface)
-from ..runtime import cut, small
+from ..runtime import by_id, cut, small
+from .words import mix
 
 FRACTION = 5
 #: Partitions whose undecided records meet on the next level.
 _FAN_IN = 64
+#: Records of one flight.
+_BLOCK = 1 << 16
 
 
 def allocate(counts: dict[str, int], targets: list[tuple[str, float, int]], total: int) -> list[dict]:
@@ -55,75 +57,89 @@ def allocate(counts: dict[str, int], targets: list[tuple[str, float, int]], tota
     return rows
 
 
-def _draw(seed: int, ids: np.ndarray, step: int) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(f"{seed}|{step}|{i}") for i in ids]) / 2.0**64
-
-
-def fly(category: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """One flight over the records of a partition: probabilities all but at most one per category 0 or 1."""
-    p = p.copy()
-    open_: dict = {}
-    for i, c in enumerate(category.tolist()):
-        if not 1e-9 < p[i] < 1 - 1e-9:
-            p[i] = round(p[i])
-            continue
-        j = open_.get(c)
-        if j is None:
-            open_[c] = i
-            continue
-        # move along (1, -1): whichever step size reaches a face first, in either direction, with mean zero
-        up, down = min(1 - p[i], p[j]), min(p[i], 1 - p[j])
-        d = up if u[i] * (up + down) < down else -down
+def fly(category: np.ndarray, p: np.ndarray, key: np.ndarray, seed: int = 0) -> np.ndarray:
+    """One flight: probabilities all but at most one per category 0 or 1, with the same sum in each category.
+
+    Undecided records of a category are paired and moved along (1, -1), a null vector of the indicators, until one of
+    the two is decided; the rest are paired again. All pairs of a round move at once."""
+    p = p.astype(float)
+    p[p < 1e-9], p[p > 1 - 1e-9] = 0.0, 1.0
+    code = np.unique(category, return_inverse=True)[1] if len(category) else np.zeros(0, np.int64)
+    turn = 0
+    while True:
+        at = np.nonzero((p > 0) & (p < 1))[0]
+        at = at[np.argsort(code[at], kind="stable")]
+        first = np.searchsorted(code[at], code[at])
+        even = (np.arange(len(at)) - first) % 2 == 0
+        i = np.nonzero(even[:-1] & (code[at][1:] == code[at][:-1]))[0]
+        if not len(i):
+            return p
+        i, j = at[i], at[i + 1]
+        # whichever step size reaches a face first, in either direction, with mean zero
+        up, down = np.minimum(1 - p[i], p[j]), np.minimum(p[i], 1 - p[j])
+        u = mix(mix(key[i] ^ np.uint64(seed * 2654435761 + turn)) ^ key[j]) / 2.0**64
+        d = np.where(u * (up + down) < down, up, -down)
         p[i] += d
         p[j] -= d
-        left = [k for k in (i, j) if 1e-9 < p[k] < 1 - 1e-9]
-        for k in (i, j):
-            if k not in left:
-                p[k] = round(p[k])
-        if left:
-            open_[c] = left[0]
-        else:
-            del open_[c]
-    return p
-
-
-def _flight(seed: int, step: int, land: bool):
+        p[p < 1e-9], p[p > 1 - 1e-9] = 0.0, 1.0
+        turn += 1
+
+
+def _flight(seed: int, land: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
-        for f in frames:
-            # what is undecided flies on with the next batch, so a partition leaves one record per category
-            f = pd.concat([*waiting, f], ignore_index=True)
-            p = fly(f["category"].to_numpy(), f["p"].to_numpy(float), _draw(seed, f["id"].to_numpy(), step))
-            f["p"] = p
+        held = 0
+
+        def flown(last: bool) -> list[pd.DataFrame]:
+            f = pd.concat(waiting, ignore_index=True)
+            key = f["h"].to_numpy(np.int64).view(np.uint64)
+            f["p"] = p = fly(f["category"].to_numpy(), f["p"].to_numpy(), key, seed)
             undecided = (p > 0) & (p < 1)
-            waiting = [f[undecided]]
-            yield f[p == 1]
-        for f in waiting:
-            if land:
-                yield f[_draw(seed, f["id"].to_numpy(), step + 1) < f["p"]].assign(p=1.0)
-            else:
-                yield f
+            if not last:
+                # what is undecided flies on with the next block, so a partition leaves one record per category
+                return [f[p == 1], f[undecided]]
+            drawn = mix(key ^ np.uint64(seed + 1)) / 2.0**64 < p
+            return [f[p == 1], f[undecided & drawn].assign(p=1.0) if land else f[undecided]]
+
+        for f in frames:
+            # blocks of a fixed size, whatever the batches, so that these don't change the draw
+            while len(f):
+                part, f = f.iloc[: _BLOCK - held], f.iloc[_BLOCK - held :]
+                waiting.append(part)
+                held += len(part)
+                if held == _BLOCK:
+                    done, left = flown(False)
+                    yield done
+                    waiting, held = [left], 0
+        if waiting:
+            yield from flown(True)
 
     return run
 
 
 def cube_sample(df: DataFrame, id_col: str, category: Column, sizes: dict[str, tuple[int, int]], seed: int = 7) -> DataFrame:
-    """`id, category` of a sample with `sizes[c] = (wanted, available)` records of each category."""
-    schema = f"id {df.schema[id_col].dataType.simpleString()}, category string, p double"
-    rate = {c: k / n for c, (k, n) in sizes.items() if n and k}
+    """`id, category` of a sample with `sizes[c] = (wanted, available)` records of each category.
+
+    Records are dealt out by their ids, so the sample depends on the records and the seed only."""
+    spark = df.sparkSession
+    schema = f"id {df.schema[id_col].dataType.simpleString()}, category string, h long, p double"
+    rate = [(c, k / n) for c, (k, n) in sorted(sizes.items()) if n and k]
     if not rate:
         return df.select(F.col(id_col).alias("id"), F.lit(None).cast("string").alias("category")).where("false")
-    rates = F.create_map(*[F.lit(x) for kv in sorted(rate.items()) for x in kv])
-    rows = df.select(F.col(id_col).alias("id"), category.alias("category")).withColumn("p", F.try_element_at(rates, F.col("category"))).where("p > 0")
-    parts = max(1, rows.rdd.getNumPartitions())
-    state, step = rows.mapInPandas(_flight(seed, 0, parts == 1), schema), 0
+    rates = F.broadcast(spark.createDataFrame(rate, "category string, p double"))
+    total = sum(n for c, (k, n) in sizes.items() if k)
+    rows = df.select(F.col(id_col).alias("id"), category.alias("category")).join(rates, "category")
+    rows = by_id(rows.select("id", "category", F.xxhash64(F.lit(seed), "id").alias("h"), "p"), "id", total)
+    parts = rows.rdd.getNumPartitions()
+    state, step = rows.mapInPandas(_flight(seed, parts == 1), schema), 0
     chosen = []
     while parts > 1:
         # decided records stay where they are; at most one per category and partition goes up a level
-        state = cut(state).withColumn("meet", F.floor(F.spark_partition_id() / _FAN_IN))
+        state = cut(state.withColumn("meet", F.floor(F.spark_partition_id() / _FAN_IN)))
         chosen.append(state.where("p = 1").drop("meet"))
-        parts, step = -(-parts // _FAN_IN), step + 2
-        state = state.where("p < 1").repartition(parts, "meet").drop("meet").mapInPandas(_flight(seed, step, parts == 1), schema)
+        parts, step = -(-parts // _FAN_IN), step + 1
+        met = state.where("p < 1").repartition(parts, "meet").sortWithinPartitions("meet", "h", "id").drop("meet")
+        state = met.mapInPandas(_flight(seed + step, parts == 1), schema)
     out = state
     for c in chosen:
         out = out.unionByName(c)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.llm import mixing, sampling
 
 LANGUAGES = [("eng", "en", "English"), ("deu", "de", "German"), ("qaa", None, "Xyz (local)")]
@@ -36,7 +37,7 @@ def test_flight_leaves_one_undecided_record_a_category():
     rng = np.random.default_rng(3)
     category = np.array(["abc"[k] for k in rng.integers(0, 3, 500)])
     p = np.array([{"a": 0.3, "b": 0.25, "c": 0.9}[c] for c in category])
-    out = sampling.fly(category, p, rng.random(500))
+    out = sampling.fly(category, p, rng.integers(0, 2**63, 500).astype(np.uint64))
     for c in "abc":
         own = out[category == c]
         assert ((own > 0) & (own < 1)).sum() <= 1
@@ -47,7 +48,7 @@ def test_inclusion_rates_are_even():
     hits = np.zeros(20)
     rng = np.random.default_rng(1)
     for _ in range(4000):
-        hits += sampling.fly(np.array(["a"] * 20), np.full(20, 0.4), rng.random(20))
+        hits += sampling.fly(np.array(["a"] * 20), np.full(20, 0.4), rng.integers(0, 2**63, 20).astype(np.uint64))
     assert np.abs(hits / 4000 - 0.4).max() < 0.05
 
 
@@ -65,6 +66,24 @@ def test_sample_is_exact_over_partitions(spark):
     assert all(names[r["id"]] == r["category"] for r in drawn)
 
 
+def test_draws_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "BLOCK_ROWS", 300)
+    rows = [(i, "abcd"[(i % 10) // 3], "w " * (1 + i % 37)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id long, lang string, text string")
+    targets = spark.createDataFrame([("a", 0.1, 5), ("b", 0.6, 5), ("d", 0.3, 4)], "lang string, share double, least long")
+    samples, mixtures = [], []
+    for parts, batch in ((2, 10_000), (4, 10_000), (7, 64)):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        laid = df.repartition(parts)
+        samples.append({tuple(r) for r in sampling.balanced_sample(laid, "row_id", F.col("lang"), targets).collect()})
+        mixtures.append({tuple(r) for r in mixing.Mixture(laid, "row_id", "lang", mixing.word_sizes(F.col("text")), targets).documents().collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert samples[0] == samples[1] == samples[2] and len(samples[0]) == 600
+    assert mixtures[0] == mixtures[1] == mixtures[2]
+
+
 def test_sample_of_nothing(spark):
     df = spark.createDataFrame([], "row_id long, lang string")
     targets = spark.createDataFrame([("a", 1.0, 5)], "lang string, share double, least long")
@@ -123,7 +142,7 @@ def test_mixture_of_nothing(spark):
 
 def test_token_sizes(spark):
     tokenizers = pytest.importorskip("public_tokenizers")
-    count = mixing.token_sizes(tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    count = mixing.token_sizes(spark, tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
     df = spark.createDataFrame([("hello world",), (None,), ("",), ("<|endoftext|>",)], "t string")
     sizes = [r[0] for r in df.select(count(F.col("t"))).collect()]
     assert sizes[0] >= 2 and sizes[1:3] == [0, 0] and sizes[3] > 1
