@@ -1,17 +1,22 @@
 """Per-document text quality statistics, and the structural profile nearest to a document.
 
-Two passes of different cost: `basic_stats` stays in Spark's own functions; `profiles` compares the distributions of
-function words and of character classes with those of the language's prose through Jensen-Shannon divergence, adds
-counts of line shapes, repetition and implausible words, and assigns the nearest of four structural profiles.
+Two passes of different cost: `basic_stats` stays in Spark's own functions; `profiles` describes a document by
+distributions (function words of its language with a class for the rest, character classes, shapes of lines, gaps
+between signs, plausibility and freshness of words) and takes the structural profile with the least Jensen-Shannon
+divergence over all of them.
+
+Profiles are fitted, not set: for each language its trusted texts are laid out as prose in several ways, its words as
+lists and tables, and its sentences garbled or repeated as junk; a profile is the mean of the distributions of a few
+such exemplars. `LAYOUTS` says how exemplars are made; it is the only place where a kind is described.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from math import log2
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,23 +31,21 @@ from .words import words
 MAX_SAMPLES, MAX_WORDS = 20_000, 100_000
 ENDERS = ".!?…。！？।؟።"
 _BLANK = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
-_CLASSES = ("letter", "mark", "digit", "blank", "line", "ender", "punctuation", "symbol", "other")
-#: Structural profiles: share of text in item lines, in rows of cells, garbled or repeated; divergence of function
-#: words and of character classes from prose; share of text in lines that read as sentences.
-PROFILES = {
-    "prose": (0.05, 0.0, 0.05, 0.25, 0.02, 0.95),
-    "list": (0.95, 0.0, 0.1, 0.8, 0.1, 0.05),
-    "table": (0.05, 0.95, 0.1, 0.9, 0.4, 0.05),
-    "junk": (0.05, 0.0, 0.95, 0.9, 0.3, 0.05),
-}
-WEIGHTS = (1.0, 1.0, 1.2, 0.25, 0.25, 0.6)
+#: Distributions a document is described by, with their number of classes, and how much each counts. Whether words are
+#: plausible and new tells junk from all else alone, so these weigh more.
+BLOCKS = {"chars": (12, 1.0), "length": (6, 1.0), "cells": (4, 1.0), "end": (3, 1.0), "lead": (4, 1.0), "gap": (5, 1.0), "plausible": (8, 1.5), "fresh": (3, 1.5)}
+#: Exemplars of each profile and language.
+EXEMPLARS = 5
+_SLICES: dict[str, slice] = {}
+for _name, (_n, _) in BLOCKS.items():
+    _start = sum(x.stop - x.start for x in _SLICES.values())
+    _SLICES[_name] = slice(_start, _start + _n)
+_SIZE = sum(n for n, _ in BLOCKS.values())
 _BULLET = re.compile(r"\s*(?:[-*+•·–—▪◦‣]|\(?\d{1,4}[.)]|\(?[^\W\d_][.)])\s+")
-_KEY = re.compile(r"\s*\S+(?: \S+)?\s*[:=–—-]\s+\S")
-_CELLS = re.compile(r"\t|\s*\|\s*|\s{2,}|[;,](?=\S)|[;,]$")
-_NUMBERISH = re.compile(r"[-+]?[\d.,:%/]*\d[\d.,:%/]*|n/a|-|", re.I)
-_BROKEN = re.compile(rf"[^\W\d_]{{2,}}[{ENDERS}][\"'»”)]*\s+[^\W_]")
-_LONG = re.compile(r"[!-~]{41,}")
-_EDGES = ".,;:!?…()\"'«»„“”"
+_KEY = re.compile(r"[^\s:=]+(?: [^\s:=]+){0,2}\s*(?:[:=]| [–—-])\s+\S")
+_CELLS = re.compile(r"\t|\s*\|+\s*|\s{2,}|[;,](?=\S)|[;,]$")
+_GAP = re.compile(rf"[,;:、،·\n{ENDERS}|\t]+|\s{{2,}}")
+_NUMBER = re.compile(r"[^\w]*[+-]?\d[\d.,:%/]*[^\w]*")
 _INSIDE = re.compile(r"[^\W\d_]+[^\w\s'’.\-‐·:/&@]+[^\W\d_]|[^\W\d_][_~][^\W\d_]")
 
 
@@ -81,224 +84,328 @@ def basic_stats(df: DataFrame, id_col: str, text_col: str, lang: Column, common:
 
 
 def _class_of(c: str) -> int:
+    """Class of a character: letter, mark, digit, blank, line end, ender, punctuation, symbol, other, cell sign, comma,
+    capital."""
     if c == "\n":
         return 4
+    if c in "\t|;":
+        return 9
     if c.isspace():
         return 3
     if c in ENDERS:
         return 5
+    if c in ",、،":
+        return 10
     k = unicodedata.category(c)
-    return {"L": 0, "M": 1, "N": 2, "P": 6, "S": 7, "Z": 3}.get(k[0], 8)
+    return 11 if k == "Lu" else {"L": 0, "M": 1, "N": 2, "P": 6, "S": 7, "Z": 3}.get(k[0], 8)
+
+
+def _entropy(p: np.ndarray) -> np.ndarray:
+    return -(p * np.log2(np.where(p > 0, p, 1.0))).sum(-1)
+
+
+def jsd(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon divergence (base 2) of distributions along the last axis."""
+    return np.maximum(0.0, _entropy((p + q) / 2) - (_entropy(p) + _entropy(q)) / 2)
+
+
+class _Maker:
+    """Parts that exemplars of a language are put together from."""
+
+    def __init__(self, rng: random.Random, texts: list[str], foreign: list[str]):
+        self.rng, self.foreign = rng, foreign
+        self.types = sorted({w.strip(ENDERS + ",;:\"«»()") for t in texts for w in t.split()} - {""})
+        self.sentences = [s.strip() for t in texts for s in re.split(rf"(?<=[{ENDERS}])\s*", t) if len(s.strip()) > 8] or ["a"]
+        if not self.types or sum(map(len, self.types)) > 14 * len(self.types):  # no blanks between words
+            whole = "".join(texts) or "a"
+            self.types = sorted({whole[i : i + n] for i in range(0, len(whole), 5) for n in (2, 3, 4, 6)})
+
+    def pick(self, options):
+        return self.rng.choice(options)
+
+    def word(self) -> str:
+        """A word of the language, or one made of two halves, as names and rare words are."""
+        w = self.pick(self.types)
+        if self.rng.random() < 0.35:
+            x = self.pick(self.types)
+            w = w[: max(1, len(w) // 2)] + x[len(x) // 2 :]
+            w = w.capitalize() if self.rng.random() < 0.6 else w
+        return w
 
+    def phrase(self, low: int = 1, high: int = 4) -> str:
+        return " ".join(self.word() for _ in range(self.rng.randint(low, high)))
 
-def jsd(p: dict, q: dict) -> float:
-    """Jensen-Shannon divergence (base 2) of two distributions."""
-    out = 0.0
-    for k in p.keys() | q.keys():
-        a, b = p.get(k, 0.0), q.get(k, 0.0)
-        m = (a + b) / 2
-        out += (a * log2(a / m) if a else 0.0) / 2 + (b * log2(b / m) if b else 0.0) / 2
-    return min(1.0, max(0.0, out))
+    def prose(self, n: int = 9) -> list[str]:
+        out = []
+        for _ in range(n):
+            ws = self.pick(self.sentences).split(" ")
+            out.append(" ".join(self.word() if len(ws) > 3 and self.rng.random() < 0.12 else w for w in ws))
+        return out
+
+    def plain(self, sep: str) -> str:
+        return re.sub(rf"[{ENDERS},;:]", "", sep.join(self.prose()))
+
+    def wrapped(self, width: int) -> str:
+        lines = [""]
+        for w in " ".join(self.prose()).split(" "):
+            if len(lines[-1]) + len(w) > width:
+                lines.append(w)
+            else:
+                lines[-1] = f"{lines[-1]} {w}".strip()
+        return "\n".join(lines)
+
+    def entries(self, make: Callable[[int], str], n: int = 20) -> str:
+        """Entries, at times after a sentence that leads up to them."""
+        return "\n".join([*(self.prose(1) if self.rng.random() < 0.4 else []), *(make(i) for i in range(1, n))])
+
+    def number(self) -> str:
+        return self.pick((f"{self.rng.uniform(100, 9999):.1f}", f"{self.rng.uniform(100, 9999):.2f}", str(self.rng.randint(1, 9999))))
+
+    def table(self, sep: str, numbers: float) -> str:
+        n = self.rng.randint(3, 5)
+        return self.entries(lambda i: sep.join(self.number() if i > 1 and self.rng.random() < numbers else self.word() for _ in range(n)), 16)
+
+    def string(self, alphabet: str, low: int, high: int) -> str:
+        return "".join(self.pick(alphabet) for _ in range(self.rng.randint(low, high)))
+
+    def garbled(self, change: Callable[[str], str]) -> str:
+        return " ".join(change(w) for w in " ".join(self.prose()).split())
+
+
+def _tables(sep: str):
+    return {f"table/{sep!r}": lambda m: m.table(sep, 0.6), f"table/{sep!r} of words": lambda m: m.table(sep, 0.25)}
+
+
+#: How exemplars of each profile are laid out. What stands before the slash is the kind.
+LAYOUTS: dict[str, Callable[[_Maker], str]] = {
+    "prose/plain": lambda m: " ".join(m.prose()),
+    "prose/paragraphs": lambda m: "\n\n".join(" ".join(m.prose(3)) for _ in range(3)),
+    "prose/sentence a line": lambda m: "\n".join(m.prose()),
+    "prose/wrapped": lambda m: m.wrapped(40),
+    "prose/narrow": lambda m: m.wrapped(28),
+    "prose/unpunctuated": lambda m: m.plain(" "),
+    "prose/unpunctuated lines": lambda m: m.plain("\n"),
+    "prose/capitals": lambda m: " ".join(m.prose()).upper(),
+    "prose/wide blanks": lambda m: " ".join(m.prose()).replace(" ", "  "),
+    "prose/two languages": lambda m: " ".join([*m.prose(4), m.pick(m.foreign)]),
+    "prose/dialogue": lambda m: "\n".join("- " + s for s in m.prose()),
+    "list/bullets": lambda m: m.entries(lambda i: "- " + m.phrase()),
+    "list/numbered": lambda m: m.entries(lambda i: f"{i}. {m.phrase()}"),
+    "list/lettered": lambda m: m.entries(lambda i: f"({chr(96 + i)}) {m.phrase()};"),
+    "list/bare": lambda m: m.entries(lambda i: m.phrase()),
+    "list/glossary": lambda m: m.entries(lambda i: f"{m.word()}: {m.phrase(1, 5)}"),
+    "list/glossary with dashes": lambda m: m.entries(lambda i: f"{m.word()} – {m.phrase(1, 5)}"),
+    "list/enumeration": lambda m: m.entries(lambda i: ", ".join(m.phrase(1, 2) for _ in range(60)), 2),
+    "list/index": lambda m: m.entries(lambda i: f"{m.phrase(1, 2)}, {m.rng.randint(1, 300)}"),
+    **{k: v for sep in ("\t", " | ", "|", " || ", ";", ",", "   ", "        ") for k, v in _tables(sep).items()},
+    "junk/symbols": lambda m: "".join(m.pick("#$%&*+/:;<=>@[]^_{}|~!?\\-") * m.rng.randint(1, 6) + (" " if m.rng.random() < 0.05 else "") for _ in range(120)),
+    "junk/encoded": lambda m: m.string("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 400, 400),
+    "junk/random letters": lambda m: " ".join(m.string("bcdfghjklmnpqrstvwxz", 3, 11) for _ in range(70)),
+    "junk/digits": lambda m: " ".join(m.string("0123456789", 1, 8) for _ in range(70)),
+    "junk/hexadecimal": lambda m: " ".join(m.string("0123456789abcdef", 8, 8) for _ in range(60)),
+    "junk/log": lambda m: "\n".join(f"{m.string('ABCDERW', 3, 3)} 0x{m.string('0123456789abcdef', 8, 8)} [{m.rng.randint(1, 99)}:{m.rng.randint(1, 99)}] fn_{m.rng.randint(1, 99)}()={m.rng.randint(-9, 9)}" for _ in range(14)),
+    "junk/wrong encoding": lambda m: "".join(m.pick("ÃÂ€¢™¶¿\ufffdÐ±Ñ") if m.rng.random() < 0.35 else c for c in " ".join(m.prose())),
+    "junk/shuffled": lambda m: m.garbled(lambda w: "".join(m.rng.sample(w, len(w)))),
+    "junk/reversed": lambda m: m.garbled(lambda w: w[::-1]),
+    "junk/reversed and spaced": lambda m: m.garbled(lambda w: m.pick("_~").join(w[::-1]) if m.rng.random() < 0.5 else w[::-1]),
+    "junk/repeated line": lambda m: "\n".join([m.phrase(3, 6)] * 25),
+    "junk/repeated sentence": lambda m: " ".join(m.prose(1) * 14),
+    "junk/repeated words": lambda m: " ".join([m.phrase(1, 2)] * 60),
+    "junk/repeated few words": lambda m: " ".join(map(m.pick, [[m.word() for _ in range(9)]] * 150)),
+    "junk/repeated signs": lambda m: m.string("#$%&*+/:;<=>@[]^_{}|~!?\\-", 4, 20) * 20,
+    "junk/repeated character": lambda m: m.pick("abcxe.-=") * 400,
+}
+PROFILES = list(LAYOUTS)
+KINDS = ("prose", "list", "table", "junk")
+_KIND = np.array([KINDS.index(p.split("/")[0]) for p in PROFILES])
+#: Function words of a profile: as in prose, as among different words of the language, none, or whatever was repeated.
+_WORDING = np.array([3 if "repeated" in p else {"prose": 0, "junk": 2}.get(p.split("/")[0], 1) for p in PROFILES])
 
 
 class Reference:
-    """Prose profiles of languages, from trusted texts and frequent words."""
+    """Profiles of languages, from trusted texts and frequent words."""
 
     def __init__(self, samples: list[tuple[str, str]], common: list[tuple[str, str]]):
         self.langs_of: dict[str, list[str]] = defaultdict(list)
         for lang, w in sorted(set(common)):
             for x in words(w):
                 self.langs_of[x].append(lang)
-        self.class_of: dict[str, int] = {}
-        self.function: dict[str, dict] = {}
-        self.share: dict[str, float] = {}
-        self.chars: dict[str, dict] = {}
         self.grams: set[str] = set()
-        self.alphabet: dict[str, Counter] = defaultdict(Counter)
-        by = defaultdict(list)
+        self.script_of: dict[str, set[str]] = defaultdict(set)
+        self.class_of: dict[str, int] = {}
+        self.seen: dict[str, int] = {}
+        by: dict[str, list[str]] = defaultdict(list)
         for lang, text in samples:
             by[lang].append(text)
-        for lang, texts in by.items():
-            ws = [w for t in texts for w in words(t)]
-            own = Counter(w for w in ws if lang in self.langs_of.get(w, ()))
-            n = max(1, len(ws))
-            self.function[lang] = {w: c / n for w, c in own.items()} | {"": 1 - sum(own.values()) / n}
-            self.share[lang] = sum(own.values()) / n
-            self.chars[lang] = self.classes(Counter("".join(texts)))
-            self.alphabet[lang].update(c for w in ws for c in w)
+        own = {lang: [w for t in texts for w in words(t)] for lang, texts in by.items()}
+        for lang, ws in own.items():
             for w in set(ws):
                 x = f" {w} "
                 self.grams.update(x[i : i + 3] for i in range(len(x) - 2))
                 self.grams.update(x[i : i + 2] for i in range(len(x) - 1))
+                for c in w:
+                    self.script_of[c].add(lang)
+        self.function: dict[str, dict[str, float]] = {}
+        self.flat: dict[str, float] = {}
+        self.profiles: dict[str | None, np.ndarray] = {}
+        for lang, ws in sorted(own.items()):
+            n, count = max(1, len(ws)), Counter(w for w in ws if lang in self.langs_of.get(w, ()))
+            self.function[lang] = {w: c / n for w, c in count.items()}
+            # the share of each function word where all different words are equally frequent
+            self.flat[lang] = 1 / max(1, len(set(ws)))
+            maker = _Maker(random.Random(lang), by[lang], [t for other, t in samples if other != lang] or by[lang])
+            self.profiles[lang] = np.array([np.mean([self.describe(make(maker))[0] for _ in range(EXEMPLARS)], 0) for make in LAYOUTS.values()])
+        self.profiles[None] = np.mean(list(self.profiles.values()), 0) if self.profiles else np.full((len(PROFILES), _SIZE), 0.0)
+
+    def odd(self, word: str) -> int:
+        """How few of a word's runs of three, then of two letters occur in trusted prose of any language."""
+        p = self.seen.get(word)
+        if p is None:
+            x = f" {word} "
+            n = len(x) - 2
+            three = sum(x[i : i + 3] in self.grams for i in range(n)) / n
+            if three >= 0.5:
+                p = 0 if three >= 0.75 else 1
+            else:
+                two = sum(x[i : i + 2] in self.grams for i in range(n + 1)) / (n + 1)
+                p = 2 if two >= 0.85 else 3 if two >= 0.4 else 4
+            if len(self.seen) > 300_000:
+                self.seen.clear()
+            self.seen[word] = p
+        return p
 
-    def classes(self, counts: Counter) -> dict:
-        out = [0] * len(_CLASSES)
+    def language(self, bag: Counter, text: str) -> str | None:
+        """The language with most frequent words in the bag; without any, the one with most characters of the text."""
+        votes: Counter = Counter()
+        for w in bag.keys() & self.langs_of.keys():
+            for lang in self.langs_of[w]:
+                votes[lang] += bag[w]
+        if not votes:
+            for c, n in Counter(text).items():
+                for lang in self.script_of.get(c.casefold(), ()):
+                    votes[lang] += n
+        return max(votes.items(), key=lambda x: (x[1], x[0]))[0] if votes else None
+
+    def describe(self, text: str) -> tuple[np.ndarray, Counter]:
+        """The distributions of BLOCKS, one after another, and the bag of words."""
+        v = [0.0] * _SIZE
+        at = _SLICES["chars"].start
         known = self.class_of
-        for c, n in counts.items():
+        for c, n in Counter(text).items():
             k = known.get(c)
             if k is None:
                 k = known[c] = _class_of(c)
-            out[k] += n
-        total = max(1, sum(out))
-        return {k: v / total for k, v in enumerate(out) if v}
-
-    def odd(self, word: str) -> int:
-        """0 for a word that may be prose; 1 if few of its runs of three letters occur in trusted prose of any
-        language, 2 if runs of two are missing, too, 3 if most of them are."""
-        if word.isascii() and len(word) >= 60:
-            return 3
-        x = f" {word} "
-        n = len(x) - 2
-        if sum(x[i : i + 3] in self.grams for i in range(n)) >= 0.5 * n:
-            return 0
-        two = sum(x[i : i + 2] in self.grams for i in range(n + 1)) / (n + 1)
-        return 3 if two < 0.4 else 2 if two < 0.85 else 1
-
-
-class Profiler:
-    def __init__(self, reference: Reference):
-        self.ref = reference
-        self.seen: dict[str, int] = {}
-        self.script_of = {c: {l for l, a in reference.alphabet.items() if c in a} for c in set().union(*reference.alphabet.values())} if reference.alphabet else {}
-
-    def _language(self, ws: list[str], votes: Counter, counts: Counter) -> str | None:
-        if votes:
-            return max(votes.items(), key=lambda x: (x[1], x[0]))[0]
-        by: Counter = Counter()
-        for c, n in counts.most_common(20):
-            for lang in self.script_of.get(c.casefold(), ()):
-                by[lang] += n
-        return max(by.items(), key=lambda x: (x[1], x[0]))[0] if by else None
-
-    def _shape(self, line: str, function: dict | None, spaced: bool) -> str:
-        """item, row or sentence."""
-        text = line.strip()
-        parts = text.split()
-        n = len(parts)
-        tabbed, wide = "\t" in text or "|" in text, "  " in text
-        if n > 7 and text[-1] in ENDERS and not tabbed and not wide:
-            return "sentence"
-        cells = [c.strip() for c in _CELLS.split(text)] if tabbed or wide or "," in text or ";" in text else [text]
-        full = [c for c in cells if c]
-        if len(cells) >= 2 and sum(any(map(str.isalnum, c)) or c.strip("-: ") == "" for c in full) >= 0.6 * len(full):
-            numbers = sum(bool(_NUMBERISH.fullmatch(c)) for c in cells)
-            short = len(text) < 30 * len(cells)
-            own = sum(w.strip(_EDGES).casefold() in function for w in parts) if function else 0
-            if len(cells) >= 3 and short and (numbers >= 0.4 * len(cells) or tabbed or n < len(cells) + 1 or (wide and own < 0.1 * n)) and own < 0.2 * max(n, len(cells)):
-                return "row"
-            if len(cells) == 2 and (tabbed or wide) and short and (numbers or n <= 4):
-                return "row"
-        body = _BULLET.sub("", text, 1).strip()
-        inner = body.split()
-        n = len(inner) if spaced else len(body) / 3
-        own = sum(w.strip(_EDGES).casefold() in function for w in inner) if function else 0
-        if not body or body[-1] in ENDERS and not (len(inner) <= 3 and spaced and body != text):
-            return "sentence"
-        if n <= 7 and own < 0.2 * max(1, n):
-            return "item"
-        if n <= 12 and own < 0.15 * n and _KEY.match(text):
-            return "item"
-        commas = sum(map(text.count, ",;،、·"))
-        if commas >= 5 and n <= 2.6 * (commas + 1) and own < 0.12 * n:
-            return "item"
-        return "sentence"
-
-    def profile(self, text: str) -> tuple:
-        """(kind, language, divergence of function words, of character classes, shares of items, rows, garbled, sentences)."""
-        ref, seen = self.ref, self.seen
+            v[at + k] += n
+        length, cells, end, lead = (_SLICES[b].start for b in ("length", "cells", "end", "lead"))
+        for line in text.split("\n"):
+            line = line.strip()
+            size = len(line)
+            if not size:
+                continue
+            v[length + (0 if size < 12 else 1 if size < 25 else 2 if size < 45 else 3 if size < 80 else 4 if size < 160 else 5)] += size
+            parts = len(_CELLS.split(line)) if "," in line or "  " in line or "|" in line or "\t" in line or ";" in line else 1
+            v[cells + min(parts, 4) - 1] += size
+            last = line[-2] if size > 1 and line[-1] in "\"'»”)’" else line[-1]
+            v[end + (0 if last in ENDERS else 1 if last.isalnum() or known.get(last) == 1 else 2)] += size
+            v[lead + (1 if _BULLET.match(line) else 2 if _KEY.match(line) else 3 if line[0].isdigit() else 0)] += size
+        at = _SLICES["gap"].start
+        for part in _GAP.split(text):
+            part = part.strip()
+            if part:
+                n = part.count(" ") + 1
+                if n < 3:  # words may not be spaced
+                    n = max(n, len(part) / 7)
+                v[at + (0 if n <= 2 else 1 if n <= 4 else 2 if n <= 7 else 3 if n <= 14 else 4)] += len(part)
         ws = words(text)
-        n = len(ws)
-        counts = Counter(text)
         bag = Counter(ws)
-        votes: Counter = Counter()
-        for w in bag.keys() & ref.langs_of.keys():
-            for lang in ref.langs_of[w]:
-                votes[lang] += bag[w]
-        lang = self._language(ws, votes, counts)
-        function = ref.function.get(lang)
-        own = {w: bag[w] for w in bag.keys() & function.keys()} if function else {}
-        share = sum(own.values()) / max(1, n)
-        d_function = jsd({w: c / n for w, c in own.items()} | {"": 1 - share}, function) if function and n else 1.0
-        classes = ref.classes(counts)
-        d_chars = jsd(classes, ref.chars[lang]) if lang in ref.chars and counts else 1.0
-        blank = classes.get(3, 0.0) + classes.get(4, 0.0)
-        solid = max(1.0, len(text) * (1 - blank))
-        usual = ref.share.get(lang, 0.0)
-        spaced = lang != "jpn" and n >= len(text) / 40
-        # endless repetition: few different runs of three words, few words, or few runs of letters
-        repeated = 1 - len(set(zip(ws, ws[1:], ws[2:]))) / (n - 2) if n >= 14 and len(bag) < 0.4 * n else 0.0
-        if n >= 24:
-            repeated = max(repeated, 1 - len(bag) / min(0.4 * n, 80))
-        elif len(text) >= 60:
-            repeated = max(repeated, 1 - min(1.0, len({text[i : i + 6] for i in range(len(text) - 5)}) / (len(text) * 0.5)))
-        shapes: Counter = Counter()
-        broken = items = 0
-        columns: Counter = Counter()
-        for line in text.split("\n"):
-            size = len(line) - line.count(" ")
-            if size and (size < 200 or not line.isspace()) and line.strip():
-                kind = self._shape(line, function, spaced)
-                shapes[kind] += size
-                if kind == "item":
-                    items += 1
-                    broken += _BROKEN.search(line) is not None
-                elif kind == "row":
-                    columns[len(_CELLS.split(line.strip()))] += 1
-        if items and broken >= 0.12 * items:  # sentences that end inside short lines: wrapped prose
-            shapes["sentence"] += shapes.pop("item")
-        rows = sum(columns.values())
-        if rows and max(columns.values()) < 0.5 * rows and share > 0.3 * usual:  # no common number of cells
-            shapes["sentence"] += shapes.pop("row")
-        total = max(1, sum(shapes.values()))
-        item, row, sentence = (shapes[k] / total for k in ("item", "row", "sentence"))
-        inside = long_tokens = symbols = 0.0
-        odd = 0
-        if row < 0.5:
-            # without function words any oddity tells; where prose has none, as words aren't spaced, only gross ones do
-            least = 3 if usual < 0.02 else 2 if share >= 0.25 * usual or item >= 0.5 else 1
-            for w, c in bag.items():
-                p = seen.get(w)
-                if p is None:
-                    if len(seen) > 300_000:
-                        seen.clear()
-                    p = seen[w] = ref.odd(w)
-                if p >= least:
-                    odd += c * len(w)
-            letters = classes.get(0, 0.0) + classes.get(1, 0.0)
-            symbols = max(0.0, 1 - letters * len(text) / solid - 0.15 - 0.2 * item)
-            if odd or symbols > 0.02 or classes.get(7, 0.0) + classes.get(8, 0.0) > 0.01:
-                inside = sum(m.end() - m.start() for m in _INSIDE.finditer(text)) / solid
-            long_tokens = sum(map(len, _LONG.findall(text))) / solid
-        garbled = min(1.0, max(0.0, odd / solid * 1.3 - 0.1, repeated * 1.6 - 0.35, 3 * inside - 0.1, long_tokens, 1.4 * symbols))
-        vector = (item * (1 - garbled), row * (1 - max(0.0, repeated - 0.5)), garbled, d_function, d_chars, sentence * (1 - garbled))
-        kind = min(PROFILES, key=lambda k: sum(w * (a - b) ** 2 for w, a, b in zip(WEIGHTS, vector, PROFILES[k])))
-        return (kind, lang, *(round(float(x), 6) for x in (d_function, d_chars, item, row, garbled, sentence)))
-
-
-_COLUMNS = ("kind", "lang", "function_jsd", "class_jsd", "item_share", "row_share", "garbled_share", "sentence_share")
+        at, odd, plain = _SLICES["plausible"].start, self.odd, self.seen
+        for w, n in bag.items():
+            k = plain.get(w)
+            if k is None:
+                if len(w) >= 41 and w.isascii():
+                    k = plain[w] = 6
+                elif any(map(str.isdigit, w)):
+                    k = plain[w] = 5 if _NUMBER.fullmatch(w) else 7
+                elif _INSIDE.search(w):
+                    k = plain[w] = 7
+                else:
+                    k = odd(w)
+            v[at + k] += n * len(w)
+        tokens = ws if len(ws) * 14 >= len(text) else [text[i : i + 3] for i in range(0, len(text), 3)]
+        n, three = len(tokens), max(0, len(tokens) - 2)
+        again = three - len(set(zip(tokens, tokens[1:], tokens[2:])))
+        at = _SLICES["fresh"].start
+        v[at : at + 3] = [len(set(tokens)), max(0, n - len(set(tokens)) - again), again]
+        v = np.array(v)
+        for part in _SLICES.values():
+            total = v[part].sum()
+            if total:
+                v[part] /= total
+        return v, bag
+
+    def wording(self, bag: Counter, lang: str | None) -> tuple[float, float, float]:
+        """Divergence of the bag's function words from those of prose, of different words, and of none."""
+        function = self.function.get(lang)
+        n = sum(bag.values())
+        if not function or not n:
+            return 1.0, 1.0, 1.0
+        own = [(bag[w] / n, function[w]) for w in bag.keys() & function.keys()]
+        rest, flat = 1 - sum(p for p, _ in own), self.flat[lang]
+        out = []
+        for pairs, whole in ((own, sum(function.values())), ([(p, flat) for p, _ in own], flat * len(function)), ([], 0.0)):
+            left = sum(p for p, _ in own) - sum(p for p, _ in pairs)  # words that the profile lacks
+            p = np.array([*(p for p, _ in pairs), rest])
+            q = np.array([*(q for _, q in pairs), max(0.0, 1 - whole)])
+            m = (p + q) / 2
+            shared = sum((a * np.log2(np.where(a > 0, a / np.where(m > 0, m, 1), 1))).sum() for a in (p, q)) / 2
+            out.append(float(max(0.0, shared + (left + whole - sum(q for _, q in pairs)) / 2)))
+        return tuple(out)
+
+    def profile(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray]:
+        """(languages, number of the nearest profile, divergence from the nearest of each kind, from prose by wording)."""
+        described = [self.describe(t) for t in texts]
+        langs = [self.language(bag, t) for (_, bag), t in zip(described, texts)]
+        wording = np.array([self.wording(bag, lang) for (_, bag), lang in zip(described, langs)]).reshape(-1, 3)
+        v = np.array([x for x, _ in described]).reshape(-1, _SIZE)
+        total = np.concatenate([wording, wording.mean(1, keepdims=True)], 1)[:, _WORDING]
+        groups: dict[str | None, list[int]] = defaultdict(list)
+        for i, lang in enumerate(langs):
+            groups[lang if lang in self.profiles else None].append(i)
+        for lang, rows in groups.items():
+            for name, (_, weight) in BLOCKS.items():
+                p, q = v[rows][:, _SLICES[name]], self.profiles[lang][:, _SLICES[name]]
+                total[rows] += weight * jsd(p[:, None], q[None])
+        by_kind = np.stack([total[:, _KIND == k].min(1) for k in range(len(KINDS))], 1) if len(texts) else np.zeros((0, len(KINDS)))
+        return langs, total.argmin(1), by_kind, wording[:, 0]
+
+
+_SCHEMA = "kind string, profile string, lang string, function_jsd double, " + ", ".join(f"{k}_jsd double" for k in KINDS)
 
 
 def _run(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiler = Profiler(cloudpickle.loads(shared.value))
+        reference: Reference = cloudpickle.loads(shared.value)
         for batch in batches:
-            rows = [profiler.profile(t) for t in batch.column(1).to_pylist()]
-            columns = list(zip(*rows)) or [[]] * len(_COLUMNS)
-            kinds = [pa.string()] * 2 + [pa.float64()] * 6
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], names=["id", *_COLUMNS])
+            for s in range(0, batch.num_rows, 500):
+                part = batch.slice(s, 500)
+                langs, best, by_kind, wording = reference.profile(part.column(1).to_pylist())
+                columns = [pa.array([KINDS[_KIND[k]] for k in best], pa.string()), pa.array([PROFILES[k] for k in best], pa.string()), pa.array(langs, pa.string()), pa.array(np.round(wording, 6))]
+                columns += [pa.array(np.round(by_kind[:, k], 6)) for k in range(len(KINDS))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["id", *(c.split()[0] for c in _SCHEMA.split(", "))])
 
     return run
 
 
 def profiles(df: DataFrame, id_col: str, text_col: str, samples: DataFrame, common: DataFrame) -> DataFrame:
-    """`id, kind` (prose, list, table or junk), `lang` compared with, divergences and shares of each document.
+    """`id, kind` (prose, list, table or junk), the nearest `profile`, the `lang` compared with, `function_jsd` from its
+    prose, and the divergence from the nearest profile of each kind.
 
     NULL texts and texts without a visible character have no row. `samples(lang, text)` and `common(lang, word)` are
     tables of fixed size.
     """
     trusted = small(samples.select("lang", "text").where("lang is not null and text is not null"), MAX_SAMPLES)
     frequent = small(common.select("lang", "word").where("lang is not null and word is not null"), MAX_WORDS)
+    trusted.sort()
     shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Reference([tuple(r) for r in trusted], [tuple(r) for r in frequent])))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.regexp_like("text", F.lit(rf"[^{_BLANK[1:]}")))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(_run(shared), f"id {kind}, kind string, lang string, function_jsd double, class_jsd double, item_share double, row_share double, garbled_share double, sentence_share double")
+    return rows.mapInArrow(_run(shared), f"id {rows.schema['id'].dataType.simpleString()}, {_SCHEMA}")

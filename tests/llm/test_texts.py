@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -183,7 +184,7 @@ SENTENCES = ["The old farmer found a map of the valley near the bridge, and he k
 @pytest.fixture(scope="module")
 def profiler():
     common = [("eng", w) for w in "the a of and in was for it he at with by but while their to".split()]
-    return quality.Profiler(quality.Reference([("eng", s) for s in SENTENCES] * 3, common))
+    return quality.Reference([("eng", s) for s in SENTENCES] * 3, common)
 
 
 @pytest.mark.parametrize(
@@ -194,14 +195,32 @@ def profiler():
     ],
 )
 def test_structural_profiles(profiler, text, kind):
-    assert profiler.profile(text)[0] == kind
+    assert quality.PROFILES[profiler.profile([text])[1][0]].split("/")[0] == kind
+
+
+def test_divergence_decides_the_profile(profiler, monkeypatch):
+    texts = ["\n".join(f"- {w} bread" for w in ("farmer", "baker", "student", "village", "bridge", "market")), "Zx9+/Kq" * 40, " ".join(SENTENCES)]
+    assert np.allclose(quality.jsd(np.array([1.0, 0.0]), np.array([[0.0, 1.0], [1.0, 0.0], [0.5, 0.5]])), [1.0, 0.0, 0.311278], atol=1e-6)
+    best = profiler.profile(texts)[1]
+    monkeypatch.setattr(quality, "jsd", lambda p, q: np.zeros(np.broadcast_shapes(p.shape, q.shape)[:-1]))
+    assert (profiler.profile(texts)[1] != best).sum() >= 2
+
+
+def test_profiles_are_fitted_the_same_every_time(profiler):
+    again = quality.Reference([("eng", s) for s in SENTENCES] * 3, [("eng", "the")])
+    other = quality.Reference([("eng", s) for s in SENTENCES] * 3, [("eng", "the")])
+    assert np.array_equal(again.profiles["eng"], other.profiles["eng"])
+
+
+REFERENCES: dict = {}
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text(min_size=1, max_size=300).filter(lambda t: t.strip()))
 def test_profiles_never_fail(text):
-    reference = quality.Reference([("eng", SENTENCES[0])], [("eng", "the")])
-    assert quality.Profiler(reference).profile(text)[0] in quality.PROFILES
+    reference = REFERENCES.setdefault("one", quality.Reference([("eng", SENTENCES[0])], [("eng", "the")]) if "one" not in REFERENCES else None)
+    langs, best, by_kind, _ = reference.profile([text, text])
+    assert best[0] == best[1] and np.isfinite(by_kind).all()
 
 
 def test_basic_stats(spark):
