@@ -17,6 +17,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -109,11 +110,17 @@ def jsd(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, _entropy((p + q) / 2) - (_entropy(p) + _entropy(q)) / 2)
 
 
+def _half(p: float, q: float) -> float:
+    """What one class of shares p and q adds to the divergence."""
+    m = (p + q) / 2
+    return ((p * log2(p / m) if p > 0 else 0.0) + (q * log2(q / m) if q > 0 else 0.0)) / 2
+
+
 class _Maker:
     """Parts that exemplars of a language are put together from."""
 
-    def __init__(self, rng: random.Random, texts: list[str], foreign: list[str]):
-        self.rng, self.foreign = rng, foreign
+    def __init__(self, rng: random.Random, texts: list[str]):
+        self.rng = rng
         self.types = sorted({w.strip(ENDERS + ",;:\"«»()") for t in texts for w in t.split()} - {""})
         self.sentences = [s.strip() for t in texts for s in re.split(rf"(?<=[{ENDERS}])\s*", t) if len(s.strip()) > 8] or ["a"]
         if not self.types or sum(map(len, self.types)) > 14 * len(self.types):  # no blanks between words
@@ -187,7 +194,6 @@ LAYOUTS: dict[str, Callable[[_Maker], str]] = {
     "prose/unpunctuated lines": lambda m: m.plain("\n"),
     "prose/capitals": lambda m: " ".join(m.prose()).upper(),
     "prose/wide blanks": lambda m: " ".join(m.prose()).replace(" ", "  "),
-    "prose/two languages": lambda m: " ".join([*m.prose(4), m.pick(m.foreign)]),
     "prose/dialogue": lambda m: "\n".join("- " + s for s in m.prose()),
     "list/bullets": lambda m: m.entries(lambda i: "- " + m.phrase()),
     "list/numbered": lambda m: m.entries(lambda i: f"{i}. {m.phrase()}"),
@@ -247,13 +253,15 @@ class Reference:
                     self.script_of[c].add(lang)
         self.function: dict[str, dict[str, float]] = {}
         self.flat: dict[str, float] = {}
+        self.known_share: dict[str, float] = {}
         self.profiles: dict[str | None, np.ndarray] = {}
         for lang, ws in sorted(own.items()):
             n, count = max(1, len(ws)), Counter(w for w in ws if lang in self.langs_of.get(w, ()))
             self.function[lang] = {w: c / n for w, c in count.items()}
+            self.known_share[lang] = sum(count.values()) / n
             # the share of each function word where all different words are equally frequent
             self.flat[lang] = 1 / max(1, len(set(ws)))
-            maker = _Maker(random.Random(lang), by[lang], [t for other, t in samples if other != lang] or by[lang])
+            maker = _Maker(random.Random(lang), by[lang])
             self.profiles[lang] = np.array([np.mean([self.describe(make(maker))[0] for _ in range(EXEMPLARS)], 0) for make in LAYOUTS.values()])
         self.profiles[None] = np.mean(list(self.profiles.values()), 0) if self.profiles else np.full((len(PROFILES), _SIZE), 0.0)
 
@@ -350,16 +358,12 @@ class Reference:
         if not function or not n:
             return 1.0, 1.0, 1.0
         own = [(bag[w] / n, function[w]) for w in bag.keys() & function.keys()]
-        rest, flat = 1 - sum(p for p, _ in own), self.flat[lang]
-        out = []
-        for pairs, whole in ((own, sum(function.values())), ([(p, flat) for p, _ in own], flat * len(function)), ([], 0.0)):
-            left = sum(p for p, _ in own) - sum(p for p, _ in pairs)  # words that the profile lacks
-            p = np.array([*(p for p, _ in pairs), rest])
-            q = np.array([*(q for _, q in pairs), max(0.0, 1 - whole)])
-            m = (p + q) / 2
-            shared = sum((a * np.log2(np.where(a > 0, a / np.where(m > 0, m, 1), 1))).sum() for a in (p, q)) / 2
-            out.append(float(max(0.0, shared + (left + whole - sum(q for _, q in pairs)) / 2)))
-        return tuple(out)
+        shared, flat = sum(p for p, _ in own), self.flat[lang]
+        rest, whole = 1 - shared, self.known_share[lang]
+        # words that only the profile has add half their share each
+        prose = sum(_half(p, q) for p, q in own) + _half(rest, 1 - whole) + (whole - sum(q for _, q in own)) / 2
+        different = sum(_half(p, flat) for p, _ in own) + _half(rest, max(0.0, 1 - flat * len(function))) + flat * (len(function) - len(own)) / 2
+        return max(0.0, prose), max(0.0, different), max(0.0, shared / 2 + _half(rest, 1.0))
 
     def profile(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray]:
         """(languages, number of the nearest profile, divergence from the nearest of each kind, from prose by wording)."""
