@@ -1,10 +1,10 @@
 """Languages of documents and of their single-language stretches, by string kernels.
 
-A text is a bag of words, a word the set of its character n-grams of one to four letters with its ends marked (a
-blended-spectrum presence kernel, convolved over words and normalised by the number of n-grams). Kernel ridge
-regression, one language against the rest, is fitted in the Nystroem space of landmark texts. Its dual folds into
-one weight vector per n-gram, hence per word, so a text is scored by adding up rows of a matrix: batches of
-sentences are scored together, whatever their number.
+A text is the set of its words, a word the set of its character n-grams of one to four letters with its ends marked: a
+blended-spectrum presence kernel, convolved over the different words and normalised by the number of n-grams. Kernel
+ridge regression, one language against the rest, is fitted in the Nystroem space of landmark texts. Its dual folds into
+one weight vector per n-gram, hence per word, so a batch is scored by the product of two matrices: which stretch has
+which word, and the words' weights.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ _DROP = re.compile(r"(?is)<(script|style|code|pre)\b.*?</\1\s*>|```.*?```|<!--.*
 _MARKUP = re.compile(r"[<\\`{\[]|https?:|[!-~]{40}")
 _DIGITS = re.compile(r"[\d_]+")
 _CACHE = 150_000
+#: Stretches in a block of the matrix product.
+_BLOCK = 256
 
 
 def _tokens(text: str) -> list[str]:
@@ -111,6 +113,30 @@ class Model:
         return out, np.bincount(w, minlength=len(ws)).astype(np.float32)
 
 
+def grams_of(text: str) -> np.ndarray:
+    """N-grams of each different word of a text, one word after another."""
+    ws = sorted({w for w in _tokens(text) if w[0].isalpha()})
+    return _grams(ws)[1] if ws else np.zeros(0, _U)
+
+
+def landmarks(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, features): a column for each landmark, its n-grams' counts over words divided by their number."""
+    vocabulary = np.unique(np.concatenate(rows))
+    z = np.zeros((len(vocabulary), len(rows)), np.float32)
+    for c, g in enumerate(rows):
+        np.add.at(z[:, c], np.searchsorted(vocabulary, g), 1.0 / max(1, len(g)))
+    return vocabulary, z
+
+
+def kernel(rows: list[np.ndarray], vocabulary: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Kernel of texts, given by their n-grams, and landmarks."""
+    out = np.zeros((len(rows), z.shape[1]))
+    for i, g in enumerate(rows):
+        k = np.minimum(np.searchsorted(vocabulary, g), len(vocabulary) - 1)
+        out[i] = z[k[vocabulary[k] == g]].sum(0) / max(1, len(g))
+    return out
+
+
 def fit(texts: list[str], labels: list[str], seed: int = 3) -> Model:
     """Nystroem kernel ridge regression, one against the rest, of sentences' labels."""
     langs = sorted(set(labels))
@@ -120,26 +146,13 @@ def fit(texts: list[str], labels: list[str], seed: int = 3) -> Model:
             if sum(map(str.isalpha, s)) >= 15:
                 parts.append((s, langs.index(lang)))
     y_of = np.array([y for _, y in parts])
-    rows = []
-    for s, _ in parts:
-        ws = [w for w in _tokens(s) if w[0].isalpha()]
-        _, g = _grams(ws) if ws else (None, np.zeros(0, _U))
-        rows.append(g)
+    rows = [grams_of(s) for s, _ in parts]
     rng = np.random.default_rng(seed)
     chosen = np.concatenate([rng.permutation(np.nonzero(y_of == k)[0])[:LANDMARKS] for k in range(len(langs))])
-    vocabulary = np.unique(np.concatenate([rows[i] for i in chosen]))
-    z = np.zeros((len(vocabulary), len(chosen)), np.float32)
-    for c, i in enumerate(chosen):
-        np.add.at(z[:, c], np.searchsorted(vocabulary, rows[i]), 1.0 / np.sqrt(len(rows[i])))
-    def against(g: np.ndarray) -> np.ndarray:
-        k = np.minimum(np.searchsorted(vocabulary, g), len(vocabulary) - 1)
-        return z[k[vocabulary[k] == g]].sum(0) / max(1, len(g))
-
-    k_nm = np.stack([against(g) for g in rows]).astype(np.float64)
-    k_mm = (z.T @ z).astype(np.float64)
-    scale = np.mean(np.diag(k_nm[chosen])) if len(chosen) else 1.0
-    k_nm /= scale
-    k_mm /= np.mean(np.diag(k_mm))
+    vocabulary, z = landmarks([rows[i] for i in chosen])
+    k_nm, k_mm = kernel(rows, vocabulary, z), (z.T @ z).astype(np.float64)
+    scale = np.mean(np.diag(k_mm)) if len(chosen) else 1.0
+    k_nm, k_mm = k_nm / scale, k_mm / scale
     y = np.zeros((len(parts), len(langs)))
     y[np.arange(len(parts)), y_of] = 1
     # every language weighs the same, however many sentences it has
@@ -149,20 +162,18 @@ def fit(texts: list[str], labels: list[str], seed: int = 3) -> Model:
     return Model(langs, vocabulary, (z @ alpha / scale).astype(np.float32))
 
 
-def _sum_rows(table: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the table's rows over runs of ids, position by position in all runs at once."""
-    n = np.diff(np.append(starts, len(ids)))
-    order = np.argsort(-n, kind="stable")
-    n, first = n[order], starts[order]
-    out = table[ids[first]]
-    longer = len(n) - np.searchsorted(n[::-1], np.arange(1, n[0] + 1 if len(n) else 1), side="right")
-    for k, m in enumerate(longer.tolist(), 1):
-        if m == 0:
-            break
-        out[:m] += table[ids[first[:m] + k]]
-    back = np.empty_like(out)
-    back[order] = out
-    return back
+def _products(table: np.ndarray, rows: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """For each of `n` rows the sum of the table's vectors of its different ids, as products of a block of rows' incidence
+    matrix with the vectors of the ids in the block. `rows` ascend."""
+    out = np.zeros((n, table.shape[1]), np.float32)
+    edges = np.searchsorted(rows, np.arange(0, n + _BLOCK, _BLOCK))
+    for k, (s, e) in enumerate(zip(edges, edges[1:])):
+        if s < e:
+            own, column = np.unique(ids[s:e], return_inverse=True)
+            incidence = np.zeros((min(_BLOCK, n - k * _BLOCK), len(own)), np.float32)
+            incidence[rows[s:e] - k * _BLOCK, column] = 1.0
+            out[k * _BLOCK : k * _BLOCK + len(incidence)] = incidence @ table[own]
+    return out
 
 
 class Scorer:
@@ -174,21 +185,19 @@ class Scorer:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.vectors = np.zeros((1 << 14, len(self.model.langs)), np.float32)
-        self.grams = np.zeros(1 << 14, np.float32)
+        self.table = np.zeros((1 << 14, len(self.model.langs) + 1), np.float32)
         self.letters = np.zeros(1 << 14, np.int32)
         self.used = 1  # entry 0 is the sentence end
 
     def _learn(self, ws: list[str]) -> None:
         need = self.used + len(ws)
-        while need > len(self.grams):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            self.grams = np.concatenate([self.grams, np.zeros_like(self.grams)])
+        while need > len(self.letters):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         for s in range(0, len(ws), 4096):
             part = ws[s : s + 4096]
             at = slice(self.used, self.used + len(part))
-            self.vectors[at], self.grams[at] = self.model.word_vectors(part)
+            self.table[at, :-1], self.table[at, -1] = self.model.word_vectors(part)
             self.letters[at] = [sum(map(str.isalpha, w)) for w in part]
             self.known.update(zip(part, range(self.used, self.used + len(part))))
             self.used += len(part)
@@ -219,7 +228,10 @@ class Scorer:
         chunks = np.where(n > LONG, (n + STRETCH // 2) // STRETCH, 1)
         chunk = np.where(np.repeat(chunks, n) > 1, np.minimum(index // STRETCH, np.repeat(chunks, n) - 1), 0)
         starts = np.nonzero((np.diff(sentence, prepend=-1) != 0) | (np.diff(chunk, prepend=0) != 0))[0]
-        return doc[starts], _sum_rows(self.vectors, ids, starts), np.add.reduceat(self.grams[ids], starts), np.add.reduceat(self.letters[ids].astype(np.int64), starts), starts
+        row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+        # the last column of the table is the number of n-grams
+        both = _products(self.table, row, ids, len(starts))
+        return doc[starts], both[:, :-1], both[:, -1], np.add.reduceat(self.letters[ids].astype(np.int64), starts), starts
 
     def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, added weights, n-grams, letters) of each stretch: a sentence, or STRETCH words of a long one."""
@@ -231,7 +243,7 @@ class Scorer:
         total = np.zeros((n, v.shape[1]), np.float32)
         if len(doc):
             at = np.nonzero(np.diff(doc, prepend=-1))[0]
-            total[doc[at]] = _sum_rows(v, np.arange(len(v)), at)
+            total[doc[at]] = np.add.reduceat(v, at)
         main = total.argmax(1)[doc]
         best = v.argmax(1) if len(doc) else doc
         rows = np.arange(len(doc))

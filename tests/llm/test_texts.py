@@ -58,6 +58,8 @@ def test_kinds_of_markup(text, kinds):
     [
         ("<h2>Head</h2><p>Text &amp; more</p><ul><li>one</li><li>two</li></ul>", "## Head\nText & more\n- one\n- two"), ("<script>var q=1;</script>kept", "kept"), ("<pre><code>a = 1\nb = 2</code></pre>", "```\na = 1\nb = 2\n```"), ("<table><tr><td>a</td><td>b</td></tr></table>", "a | b"),
         ("a <b>x</b> if a<b", "a x if a<b"), ("**bold** and ~~old~~ `code` [t](u)", "bold and old code t"), ("Title\n====\ntext", "# Title\ntext"), ("- [x] done", "- done"), ("```py\nx_1 = a*b*c\n```\n**y**", "```\nx_1 = a*b*c\n```\ny"),
+        ("{{Infobox|a={{n|x}}|b=2}} text", "text"), ("\\textbf{\\emph{\\underline{deep}}} \\frac{a}{b}", "deep a/b"), ("\\item one \\item two", "- one\n- two"), ("**a *b* c** __x **y** z__", "a b c x y z"), ("{|\n| a || b\n|-\n| c || d\n|}", "a | b\nc | d"),
+        ("$" + "x_1 + " * 60 + "y$ is", "$" + "x_1 + " * 60 + "y$ is"), ("*" + "word " * 60 + "end* x", "word " * 60 + "end x"), ("{\\bf very \\emph{odd}}~\\cite{k}", "very odd"), ("\\begin{tabular}{ll}a & b \\\\ c & d\\end{tabular}", "a | b\nc | d"),
         ("'''Bold''' [[a|b]] {{stub}}", "Bold b"), ("== Head ==\ntext\n[[Category:X]]", "## Head\ntext"), ("\\section{A}\n\\emph{b}\n\\item c", "## A\nb\n- c"), ("\\[ x = \\frac{1}{2} \\] done", "$x = \\frac{1}{2}$ done"), ("(50\\%) ``q''", '(50%) "q"'),
     ],
 )
@@ -72,6 +74,18 @@ def test_navigation_is_no_content():
     assert "Entry" not in clean and clean.count("A sentence") == 16
 
 
+def test_two_links_are_navigation():
+    body = "".join(f"<p>{t} paragraph of some words.</p>" for t in ("First", "Second", "Third"))
+    clean = markup.clean(f'<nav><a href="/">Home</a><a href="/a">About</a></nav>{body}')[0]
+    assert "Home" not in clean and clean.count("paragraph") == 3
+
+
+def test_events_decide_the_kinds():
+    for scan, text in ((markup.scan_html, "a<b>c</b>"), (markup.scan_latex, "\\emph{a}"), (markup.scan_wiki, "[[a]]"), (markup.scan_markdown, "**a**")):
+        assert scan(text)[1] > 0 and scan("plain words, 3 < 4 & 5 * 6")[1] == 0
+    assert markup.clean("*" + "long " * 400 + "span*")[1] == ["markdown"]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab<>/&;*_#[]{}|\\$`'=~-\n 1", max_size=80))
 def test_cleaning_never_fails(text):
@@ -115,6 +129,23 @@ def test_held_out_accuracy(tongues):
     assert sum(got.get(i) == [k] for i, k in enumerate(truth)) >= 0.97 * len(truth)
 
 
+def test_the_kernel_is_the_same_for_texts_and_landmarks(tongues):
+    makers, _ = tongues
+    rows = [langid.grams_of(makers[k](8)) for k in makers for _ in range(5)]
+    vocabulary, z = langid.landmarks(rows)
+    k_mm = z.T @ z
+    assert np.allclose(langid.kernel(rows, vocabulary, z), k_mm, atol=1e-6) and np.allclose(k_mm, k_mm.T)
+    # a word counts once, however often it is there
+    assert np.array_equal(langid.grams_of("one two two. Two one"), langid.grams_of("two one"))
+
+
+def test_scores_are_sums_over_different_words():
+    rng = np.random.default_rng(3)
+    table, ids, rows = rng.random((40, 5)).astype(np.float32), rng.integers(0, 40, 3000), np.sort(rng.integers(0, 700, 3000))
+    want = np.array([table[np.unique(ids[rows == r])].sum(0) for r in range(700)])
+    assert np.allclose(langid._products(table, rows, ids, 700), want, atol=1e-4)
+
+
 def test_mislabelled_and_mixed_rows(spark, tongues):
     makers, model = tongues
     long = lambda k, n=5: " ".join(makers[k]() for _ in range(n))
