@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from ..runtime import broadcast_if_small
 from .split import ranked
 
 MODES = ("max", "median_x2", "none")
+#: Copies of a row that one task makes at most, on average; draws of a group that are numbered together.
+COPIES_PER_TASK, _BLOCK = 1_000, 10_000
 
 
 def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_id: str = "row_id", keys: list[str] = (), mode: str = "max", target: int = 0, seed: int = 42) -> DataFrame:
@@ -35,20 +39,31 @@ def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_i
         aims = sizes.join(broadcast_if_small(whole), on)
         aims = aims.withColumn("_aim", F.col("_max") if mode == "max" else F.greatest(2 * F.col("_median"), F.col("_n")))
     aims = aims.withColumn("_need", F.greatest(F.col("_aim"), F.lit(target)) - F.col("_n")).where("_need > 0")
+    # a row drawn so often that its copies are too many for one task is looked up under several salts
+    aims = aims.withColumn("_salts", F.greatest(F.lit(1), F.ceil(F.col("_need") / F.col("_n") / COPIES_PER_TASK)).cast("int"))
+    aims = broadcast_if_small(aims.select(*[F.col(g).alias(f"_a{i}") for i, g in enumerate(group)], "_n", "_need", "_salts"))
     # needs are exploded in two steps, so a group that lacks millions of rows isn't one task's work
-    block = 10_000
-    blocks = aims.select(*group, "_n", "_need", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("_need") - 1) / block).cast("long"))).alias("_b"))
-    blocks = blocks.repartition("_b", *group)
-    draws = blocks.select(*group, "_n", F.explode(F.sequence(F.col("_b") * block + 1, F.least(F.col("_need"), (F.col("_b") + 1) * block))).alias("copy"))
-    pick = draw(seed, *[F.col(g).cast("string") for g in group], F.col("copy").cast("string")) % F.col("_n") + 1
-    draws = draws.select(*[F.col(g).alias(f"_d{i}") for i, g in enumerate(group)], "copy", pick.alias("_pick"))
+    names = [f"_a{i}" for i in range(len(group))]
+    blocks = aims.select(*names, "_n", "_need", "_salts", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("_need") - 1) / _BLOCK).cast("long"))).alias("_b"))
+    blocks = blocks.repartition("_b", *names)
+    draws = blocks.select(*names, "_n", "_salts", F.explode(F.sequence(F.col("_b") * _BLOCK + 1, F.least(F.col("_need"), (F.col("_b") + 1) * _BLOCK))).alias("copy"))
+    pick = draw(seed, *[F.col(a).cast("string") for a in names], F.col("copy").cast("string")) % F.col("_n") + 1
+    draws = draws.select(*[F.col(a).alias(f"_d{i}") for i, a in enumerate(names)], "copy", pick.alias("_pick"), (F.col("copy") % F.col("_salts")).cast("int").alias("_salt"))
+
+    def same(left: DataFrame, mine: list[str], right: DataFrame, theirs: list[str]):
+        return functools.reduce(lambda x, y: x & y, [left[m].eqNullSafe(right[t]) for m, t in zip(mine, theirs)])
+
+    def salted(df: DataFrame, columns: list[str]) -> DataFrame:
+        """The rows of groups that lack some, once for every salt."""
+        return df.join(aims, same(df, columns, aims, names)).select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_at"))
+
     # ids alone are ranked and drawn; the rows are joined once, on their id
-    numbered = ranked(rows.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(row_id).alias("_id")), [f"_g{i}" for i in range(len(group))], [F.col("_id")], "_rank")
-    on = numbered["_rank"] == draws["_pick"]
-    for i in range(len(group)):
-        on = on & numbered[f"_g{i}"].eqNullSafe(draws[f"_d{i}"])
-    drawn = numbered.join(draws, on).select("_id", "copy")
-    extra = rows.join(drawn, rows[row_id] == drawn["_id"]).select(*rows.columns, "copy")
+    keys = [f"_g{i}" for i in range(len(group))]
+    numbered = salted(ranked(rows.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(row_id).alias("_id")), keys, [F.col("_id")], "_rank"), keys)
+    on = (numbered["_rank"] == draws["_pick"]) & (numbered["_at"] == draws["_salt"]) & same(numbered, keys, draws, [f"_d{i}" for i in range(len(group))])
+    drawn = numbered.join(draws, on).select("_id", "copy", "_salt")
+    source = salted(rows, group)
+    extra = source.join(drawn, (source[row_id] == drawn["_id"]) & (source["_at"] == drawn["_salt"])).select(*rows.columns, "copy")
     return rows.withColumn("copy", F.lit(0).cast("long")).unionByName(extra)
 
 

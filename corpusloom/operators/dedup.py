@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,25 +145,39 @@ def signature_pairs(signed: DataFrame, row_id: str = "row_id", group: str = "grp
     )
 
 
-def greedy_keep(ids: DataFrame, links: DataFrame, max_rounds: int = 200) -> DataFrame:
+#: Links that are few enough for one task.
+FEW_LINKS = 100_000
+
+
+def _settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The records that the greedy rule drops, for all links at once."""
+    links = pd.concat([*frames, pd.DataFrame({"x": pd.Series(dtype="int64"), "y": pd.Series(dtype="int64")})], ignore_index=True).sort_values("y")
+    dropped: set = set()
+    for x, y in zip(links["x"].tolist(), links["y"].tolist()):
+        if x not in dropped:
+            dropped.add(y)
+    yield pd.DataFrame({"id": sorted(dropped)}, dtype="int64")
+
+
+def greedy_keep(ids: DataFrame, links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """Of `ids(id)` those kept by the greedy rule over `links(x, y)`, x < y.
 
-    Each round drops what has a kept earlier neighbour and keeps what has only dropped ones, or none. The least
-    undecided record settles in every round; chains, not sizes, determine the number of rounds."""
-    links = cut(links)
-    undecided = links.select(F.col("y").alias("id")).distinct()
-    state = cut(links.select(F.explode(F.array("x", "y")).alias("id")).distinct().join(undecided.withColumn("u", F.lit(True)), "id", "left").select("id", F.when(F.col("u"), F.lit(None)).otherwise(F.lit(True)).cast("boolean").alias("keep")))
-    for _ in range(max_rounds):
-        open_ = state.where("keep is null").select(F.col("id").alias("y"))
-        verdict = (
-            links.join(open_, "y").join(state.select(F.col("id").alias("x"), "keep"), "x")
-            .groupBy("y").agg(F.max(F.coalesce("keep", F.lit(False))).alias("hit"), F.max(F.col("keep").isNull()).alias("waits"))
-            .select(F.col("y").alias("id"), F.when(F.col("hit"), F.lit(False)).when(~F.col("waits"), F.lit(True)).alias("now"))
-        )
-        state = cut(state.join(verdict, "id", "left").select("id", F.coalesce("keep", "now").alias("keep")))
-        if state.where("keep is null").limit(1).count() == 0:
-            return ids.join(state.where("not keep").select("id"), "id", "left_anti")
-    raise RuntimeError("the greedy rule did not settle")
+    What is never second in a link is kept, and drops all it is linked to; links of dropped records mean nothing any
+    more and go. Each round starts from what is left, so it shrinks; the last `few` links are settled by one task, however
+    long their chains are. The least undecided record settles in every round, and there is no limit on rounds."""
+    links, dropped = cut(links.select(F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))), None
+    while True:
+        few_left = links.limit(few + 1).count() <= few
+        if few_left:
+            gone = links.coalesce(1).mapInPandas(_settle, "id long")
+        else:
+            kept = links.select(F.col("x").alias("k")).distinct().join(links.select(F.col("y").alias("k")).distinct(), "k", "left_anti")
+            gone = cut(links.join(kept, links["x"] == kept["k"], "left_semi").select(F.col("y").alias("id")).distinct())
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        if few_left:
+            return ids.join(dropped, "id", "left_anti")
+        rest = links.join(gone, links["y"] == gone["id"], "left_anti")
+        links = cut(rest.join(gone, rest["x"] == gone["id"], "left_anti"))
 
 
 def near_dedup(df: DataFrame, text: str = "text", lang: str = "lang", row_id: str = "row_id", keys: list[str] = (), bands: int = BANDS, distance: int = DISTANCE, ngram: int = NGRAM, chunk_rows: int | None = None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -44,6 +45,17 @@ def _semi(df: DataFrame, keys: list[str], kept: DataFrame) -> DataFrame:
     return df.join(kept, on, "left_semi")
 
 
+def with_group(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """The rows with aggregates of their group in `keys`, NULL being a value, or of all rows without keys; joined, so that
+    no task needs to see a whole group."""
+    names = [f"_w{i}" for i in range(len(keys) + 1)]
+    columns = [*[F.col(k) for k in keys], F.lit(1)]
+    keyed = df.select("*", *[c.alias(n) for c, n in zip(columns, names)])
+    whole = broadcast_if_small(keyed.groupBy(*names).agg(*aggregates))
+    on = functools.reduce(lambda a, b: a & b, [keyed[n].eqNullSafe(whole[n]) for n in names])
+    return keyed.join(whole, on).select(*[keyed[c] for c in df.columns], *[whole[c] for c in whole.columns[len(names) :]])
+
+
 def min_per_class(df: DataFrame, keys: list[str], minimum: int = 3) -> DataFrame:
     """Rows whose group has at least `minimum` rows; all rows if `minimum` is 0 or less.
 
@@ -60,10 +72,8 @@ def common_labels(df: DataFrame, keys: list[str], label: str = "lang", split: st
     `keys` separate datasets, such as scripts, that are judged one by one."""
     seen = [F.max((F.col(split) == s).cast("int")).alias(s) for s in ("train", "valid", "test")]
     per_label = df.groupBy(*keys, label).agg(*seen)
-    whole = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
-    # one row per label, so the window is small
-    full = F.least(*[F.max(s).over(whole) for s in ("train", "valid", "test")])
-    kept = per_label.withColumn("_full", full).where((F.least("train", "valid", "test") == 1) | (F.col("_full") == 0))
+    full = F.least(*[F.max(s) for s in ("train", "valid", "test")])
+    kept = with_group(per_label, keys, full.alias("_full")).where((F.least("train", "valid", "test") == 1) | (F.col("_full") == 0))
     names = [*keys, label]
     return _semi(df, names, kept.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)]))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import shingles, words
+from ..runtime import small
 from .evaluation import accuracy
 
 
@@ -50,9 +51,9 @@ def predict(model: PipelineModel, lines: DataFrame, text: str = "text") -> DataF
 
 def train_per_script(lines: DataFrame, script: str = "script", split: str = "split", **options) -> dict[str, tuple[PipelineModel | None, str]]:
     """A model for each script with rows in all of train, valid and test; others are skipped with the reason."""
-    seen = lines.where(F.regexp_like(F.col(script), F.lit("^[A-Za-z]{4}$"))).groupBy(script).agg(F.count_distinct(split).alias("n"), F.count_distinct("gold").alias("k")).orderBy(script).limit(1000).collect()
+    seen = small(lines.where(F.regexp_like(F.col(script), F.lit("^[A-Za-z]{4}$"))).groupBy(script).agg(F.count_distinct(split).alias("n"), F.count_distinct("gold").alias("k")))
     out: dict[str, tuple[PipelineModel | None, str]] = {}
-    for r in seen:
+    for r in sorted(seen, key=lambda r: r[script]):
         if r["n"] < 3:
             out[r[script]] = (None, "a split is missing")
         elif r["k"] < 2:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..runtime import broadcast_if_small, cut
+from .filters import with_group
 
 
 def split_sizes(n: Column, train: float = 0.8, valid: float = 0.1) -> tuple[Column, Column]:
@@ -51,9 +52,8 @@ def stratified_split(df: DataFrame, label: str = "lang", row_id: str = "row_id",
     if intersect:
         # a label is common if all its sizes are positive; where a whole split is empty, none is asked to be
         sizes = [F.col("_tr"), F.col("_va"), F.col("_total") - F.col("_tr") - F.col("_va")]
-        whole = W.partitionBy(*names[:-1]) if keys else W.partitionBy(F.lit(1))
-        full = F.least(*[F.max(s).over(whole) for s in sizes]) > 0
-        bounds = bounds.withColumn("_full", full).where((F.least(*sizes) > 0) | ~F.col("_full")).drop("_full")
+        full = F.least(*[F.max(s) for s in sizes]) > 0
+        bounds = with_group(bounds, names[:-1], full.alias("_full")).where((F.least(*sizes) > 0) | ~F.col("_full")).drop("_full")
     bounds = broadcast_if_small(bounds)
     on = None
     for g, n in zip(group, names):

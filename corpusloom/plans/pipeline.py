@@ -79,8 +79,8 @@ def low_count(df: DataFrame, o: Options) -> DataFrame:
 
 def split_long(df: DataFrame, o: Options) -> DataFrame:
     out = chunks.split_long_entries(df, keys=["script"])
-    # pieces need ids of their own; a long text has no more pieces than code points
-    return out.withColumn("row_id", F.xxhash64("row_id", "piece")).drop("piece")
+    # pieces need ids of their own, which a hash would not make sure
+    return out.withColumn("row_id", F.concat_ws("-", "row_id", "piece")).drop("piece")
 
 
 def splits(df: DataFrame, o: Options) -> DataFrame:

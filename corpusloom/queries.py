@@ -249,10 +249,6 @@ def quantise_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "codes")
 
 
-def _pipeline_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards(spark, sf_dir).where("text is not null and lang is not null")
-
-
 def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = pipeline.Options(balance="median_x2")
     return pipeline.run("full", shards(spark, sf_dir), o)

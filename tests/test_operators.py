@@ -241,3 +241,32 @@ def test_leads_of_runs_that_fill_partitions(spark):
 def test_leads_of_nothing(spark):
     out, spanning = skew.run_leads(spark.createDataFrame([], "k long, id long"), ["k"], "id")
     assert out.count() == 0 and spanning.count() == 0
+
+
+def test_a_long_chain_settles(spark):
+    n = 1000
+    ids = spark.range(1, n + 1).selectExpr("id")
+    links = spark.range(1, n).selectExpr("id as x", "id + 1 as y")
+    assert sorted(r["id"] for r in dedup.greedy_keep(ids, links).collect()) == list(range(1, n + 1, 2))
+
+
+def test_rounds_and_one_task_agree(spark):
+    import random
+
+    rng = random.Random(5)
+    pairs = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(90)})
+    links = spark.createDataFrame(pairs, "x long, y long")
+    dropped = set()
+    for x, y in sorted(pairs, key=lambda p: p[1]):
+        if x not in dropped:
+            dropped.add(y)
+    for few in (0, 10, 10_000):
+        assert {r["id"] for r in dedup.greedy_keep(spark.range(60), links, few).collect()} == set(range(60)) - dropped
+
+
+def test_copies_of_one_row_are_made_by_many_tasks(spark):
+    rows = spark.createDataFrame([(1, "rare", "t")] + [(10 + i, "many", "t") for i in range(3)], "row_id long, lang string, text string")
+    out = balance.balance(rows, mode="none", target=20_000)
+    assert out.where("lang = 'rare'").select("copy").distinct().count() == 20_000
+    salts = {r["s"] for r in out.where("lang = 'rare' and copy > 0").selectExpr("copy % 20 as s").distinct().collect()}
+    assert salts == set(range(20))
