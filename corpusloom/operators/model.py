@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,12 +11,14 @@ from pyspark.ml.classification import LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import shingles, words
+from ..functions.text import safe_cutoff, shingles, words
 from ..runtime import small
+from ..sources.writers import write_arguments, write_predictions
 from .evaluation import accuracy
+from .lines import vocabulary_stats
 
 
 def features(text: Column, low: int = 2, high: int = 4, word_ngrams: int = 1) -> Column:
@@ -63,6 +67,54 @@ def train_per_script(lines: DataFrame, script: str = "script", split: str = "spl
     return out
 
 
+def train_and_save(
+    lines: DataFrame, path: str, script: str = "script", split: str = "split", loss: str = "ova", cutoff: int | None = None, samples: int = 5, **options
+) -> DataFrame:
+    """The whole training of `lines(gold, text, <script>, <split>)` into folders `<path>/<script>`: a report with one row
+    per script, `script, status, vocab, labels, accuracy, quantised, samples`.
+
+    A script lacking one of train, valid and test, or with fewer than two labels, is skipped, and so is one whose model is
+    there already. Else the model, its arguments as JSON and its predictions of the test rows as tab-separated lines are
+    saved. Where vocabulary and labels suffice for a codebook, a second model with no more features than the cutoff is
+    trained and saved beside the first."""
+    spark = lines.sparkSession
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = lambda p: files.exists(spark._jvm.org.apache.hadoop.fs.Path(p))
+    known = lines.where(F.regexp_like(F.col(script), F.lit("^[A-Za-z]{4}$")))
+    seen = small(known.groupBy(script).agg(F.count_distinct(F.when(F.col(split).isin("train", "valid", "test"), F.col(split))).alias("n"), F.count_distinct("gold").alias("k")))
+    report = []
+    for r in sorted(seen, key=lambda r: r[script]):
+        name, folder = r[script], f"{path}/{r[script]}"
+        if r["n"] < 3 or r["k"] < 2 or there(f"{folder}/model"):
+            status = "a split is missing" if r["n"] < 3 else "fewer than two labels" if r["k"] < 2 else "present"
+            report.append((name, status, None, r["k"], None, False, None))
+            continue
+        own = known.where(F.col(script) == name)
+        fit_on = own.where(F.col(split) == "train")
+        vocab = vocabulary_stats(fit_on, "text").first()["vocab"]
+        model = train(fit_on, loss=loss, **options)
+        model.write().overwrite().save(f"{folder}/model")
+        scored = predict(model, own.where(F.col(split) == "test"))
+        write_predictions(scored, f"{folder}/predictions")
+        quantised = all(quantisation_gates(vocab, r["k"]))
+        features_kept = spark.range(1).select(safe_cutoff(F.lit(cutoff).cast("long"), F.lit(vocab))).first()[0]
+        if quantised:
+            train(fit_on, loss=loss, **{**options, "buckets": int(features_kept)}).write().overwrite().save(f"{folder}/model_quantised")
+        arguments = {"loss": loss, "low": 2, "high": 4, "word_ngrams": 1, "buckets": 1 << 16, **options, "cutoff": features_kept, "vocab": vocab, "labels": r["k"]}
+        write_arguments(spark, arguments, f"{folder}/arguments")
+        first = [f"{x['gold']} {x['pred']}" for x in scored.select("gold", "pred").limit(samples).collect()]
+        report.append((name, "trained", vocab, r["k"], accuracy(scored).first()["accuracy"], quantised, first))
+    return spark.createDataFrame(report, "script string, status string, vocab long, labels long, accuracy double, quantised boolean, samples array<string>")
+
+
+def load(spark: SparkSession, path: str, script: str, quantised: bool = False) -> PipelineModel:
+    """A saved model, ready to predict."""
+    arguments = json.loads(spark.read.text(f"{path}/{script}/arguments").first()[0])
+    model = PipelineModel.load(f"{path}/{script}/{'model_quantised' if quantised else 'model'}")
+    model.low, model.high, model.word_ngrams = arguments["low"], arguments["high"], arguments["word_ngrams"]
+    return model
+
+
 def evaluate(model: PipelineModel, lines: DataFrame, text: str = "text") -> DataFrame:
     return accuracy(predict(model, lines, text))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.scripts import dominant_script, purity_filter
 from ..operators import balance, chunks, dedup, filters, snippets, split
 from ..runtime import cut
+from ..sources.writers import write_partitioned
 
 
 @dataclass
@@ -112,11 +113,22 @@ PIPELINES: dict[str, list[Callable[[DataFrame, Options], DataFrame]]] = {
 }
 
 
-def run(name: str, df: DataFrame, options: Options | None = None, until: str | None = None) -> DataFrame:
-    """The named pipeline over `row_id, text, lang, region_code`, up to the step named `until`."""
+def run(name: str, df: DataFrame, options: Options | None = None, until: str | None = None, counters: dict[str, Observation] | None = None) -> DataFrame:
+    """The named pipeline over `row_id, text, lang, region_code`, up to the step named `until`.
+
+    `counters` receives an observation per step, `rows` being what the step gave; it is known once an action has run and
+    costs no pass of its own. A step that feeds several others counts its rows at its first use."""
     o = options or Options()
-    for step in PIPELINES[name]:
+    for k, step in enumerate(PIPELINES[name]):
         df = step(df, o)
+        if counters is not None and step is not keep:
+            seen = counters[step.__name__] = Observation(f"{k}-{step.__name__}")
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if step.__name__ == until:
             break
     return df
+
+
+def write_routed(df: DataFrame, path: str, options: Options | None = None, **write) -> None:
+    """Rows routed by script and written as Parquet, one folder a script."""
+    write_partitioned(route(df, options or Options()), path, ["script"], **write)

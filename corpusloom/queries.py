@@ -10,8 +10,8 @@ from .functions import text as T
 from .functions.labels import reads_as
 from .operators import balance, chunks, dedup, evaluation, filters, lines, skew, snippets, split
 from .plans import pipeline
-from .runtime import table
-from .sources import writers
+from .runtime import scratch, table
+from .sources import readers, writers
 
 #: A language is heavy from this share of the rows with a readable label on.
 HEAVY = 1 / 20
@@ -94,6 +94,38 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_dedup(shards(spark, sf_dir)).select("row_id")
 
 
+def near_dedup_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_dedup(shards(spark, sf_dir), chunk_rows=1000).select("row_id")
+
+
+def chunk_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.chunk_numbers(shards(spark, sf_dir).select("row_id"), "row_id", 300).select("row_id", "chunk")
+
+
+def io_routed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards routed by script, written and read again."""
+    path = scratch(spark, "routed")
+    rows = shards(spark, sf_dir).withColumn("script", S.dominant_script(spark, F.col("text"), extensions=False))
+    writers.write_partitioned(rows, path, ["script"], compression="zstd", files_per_partition=4)
+    return readers.read_shards(spark, path, ["row_id", "lang", "script"])
+
+
+def io_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled lines written as text below a folder per split, and read again with the split of their path."""
+    path = scratch(spark, "lines")
+    rows = table(spark, sf_dir, "split_shards").withColumn("split", filters_split(F.col("split")))
+    for name in ("train", "valid", "test"):
+        writers.write_label_lines(rows.where(F.col("split") == name), f"{path}/{name}", by=["script"])
+    return readers.read_lines(spark, path).select("value", "subset")
+
+
+def io_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions written tab-separated and read again; what is empty comes back as NULL."""
+    path = scratch(spark, "predictions")
+    writers.write_predictions(_predictions(spark, sf_dir), path)
+    return readers.read_predictions(spark, path)
+
+
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.label_counts(shards(spark, sf_dir))
 
@@ -102,6 +134,10 @@ def split_long_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.split_long_entries(shards(spark, sf_dir)).select("row_id", "piece", "text")
 
 
+def split_long_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.split_long_entries(shards(spark, sf_dir), batch_rows=500).select("row_id", "piece", "text")
+
+
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.stratified_split(shards(spark, sf_dir).select("row_id", "lang"))
 
@@ -292,7 +328,14 @@ QUERIES = {
     "lsh_bands": lsh_bands,
     "near_dup_pairs": near_dup_pairs,
     "near_dedup": near_dedup,
+    "near_dedup_chunked": near_dedup_chunked,
+    "chunk_numbers": chunk_numbers,
+    "io_routed_shards": io_routed_shards,
+    "io_label_lines": io_label_lines,
+    "io_predictions": io_predictions,
+    "human_sizes": lambda spark, sf_dir: shards(spark, sf_dir).select("row_id", T.human_bytes(F.pow(F.lit(2.0), F.col("row_id") % 47) * 1.3).alias("size")),
     "split_long_entries": split_long_entries,
+    "split_long_batched": split_long_batched,
     "stratified_split": stratified_split,
     "split_stats": split_stats,
     "split_label_summary": split_label_summary,
@@ -432,6 +475,27 @@ _CASE_SPLIT = "CASE WHEN lower(trim(split)) IN ('train', 'training') THEN 'train
 _SCRIPTS = {"Arab": "Arabic", "Armn": "Armenian", "Cher": "Cherokee", "Cyrl": "Cyrillic", "Deva": "Devanagari", "Ethi": "Ethiopic", "Geor": "Georgian", "Grek": "Greek", "Hang": "Hangul", "Hani": "Han", "Hebr": "Hebrew", "Hira": "Hiragana", "Kana": "Katakana", "Latn": "Latin", "Tfng": "Tifinagh"}
 
 
+def _greedy_sql(pairs: str) -> str:
+    return f"""
+WITH RECURSIVE {pairs}, nodes AS (SELECT DISTINCT unnest([x, y]) AS id FROM links),
+seq AS (SELECT id, row_number() OVER (ORDER BY id) AS k FROM nodes),
+before AS (SELECT y AS id, list(x) AS xs FROM links GROUP BY y),
+walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL
+  SELECT s.k, CASE WHEN b.xs IS NOT NULL AND list_has_any(b.xs, w.kept) THEN w.kept ELSE list_append(w.kept, s.id) END FROM walk w JOIN seq s ON s.k = w.k + 1 LEFT JOIN before b ON b.id = s.id),
+kept AS (SELECT unnest(kept) AS id FROM walk WHERE k = (SELECT max(k) FROM seq))
+SELECT row_id FROM firsts WHERE row_id NOT IN (SELECT id FROM nodes) OR row_id IN (SELECT id FROM kept)"""
+
+
+def _long_sql(batch: int) -> str:
+    return f"""
+WITH RECURSIVE s AS (SELECT row_id, text, (row_number() OVER (ORDER BY row_id) - 1) // {batch} AS b FROM shards),
+m AS (SELECT b, CASE WHEN trunc(avg(length(text))) > 0 THEN trunc(avg(length(text)))::INT ELSE 100 END AS n FROM s GROUP BY b),
+walk AS (SELECT row_id, b, -1 AS piece, NULL::VARCHAR AS chunk, text AS rest, false AS done FROM s UNION ALL
+  SELECT row_id, b, piece + 1, CASE WHEN long THEN {_strip('substr(rest, 1, cut)')} ELSE rest END, CASE WHEN long THEN {_strip('substr(rest, cut + 1)')} END, NOT long OR {_strip('substr(rest, cut + 1)')} = ''
+  FROM (SELECT row_id, b, piece, rest, length(rest) > m.n AS long, CASE WHEN regexp_matches(substr(rest, 1, m.n), ' ') THEN length(regexp_extract(substr(rest, 1, m.n), '(?s)^(.*) ', 1)) ELSE m.n END AS cut FROM walk JOIN m USING (b) WHERE NOT done))
+SELECT row_id, piece, chunk AS text FROM walk WHERE piece >= 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     no_numbers = "nfc_normalize(regexp_replace(" + _lower("text") + r", '\p{Nd}+', '', 'g'))"
     social = "nfc_normalize(coalesce(text, ''))"
@@ -474,20 +538,15 @@ SELECT row_id, {_strip(social)} AS text FROM shards""",
         "simhash": f"WITH {_SIG} SELECT row_id, sig FROM signed",
         "lsh_bands": f"WITH {_SIG} SELECT row_id, b AS band, (CASE WHEN b < 4 THEN ((sig & 4294967295) >> (8 * b)) ELSE (((sig >> 32) & 4294967295) >> (8 * (b - 4))) END & 255)::BIGINT AS v FROM signed, range(8) t(b)",
         "near_dup_pairs": f"WITH {_PAIRS} SELECT x, y FROM links",
-        "near_dedup": f"""
-WITH RECURSIVE {_PAIRS}, nodes AS (SELECT DISTINCT unnest([x, y]) AS id FROM links),
-seq AS (SELECT id, row_number() OVER (ORDER BY id) AS k FROM nodes),
-before AS (SELECT y AS id, list(x) AS xs FROM links GROUP BY y),
-walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL
-  SELECT s.k, CASE WHEN b.xs IS NOT NULL AND list_has_any(b.xs, w.kept) THEN w.kept ELSE list_append(w.kept, s.id) END FROM walk w JOIN seq s ON s.k = w.k + 1 LEFT JOIN before b ON b.id = s.id),
-kept AS (SELECT unnest(kept) AS id FROM walk WHERE k = (SELECT max(k) FROM seq))
-SELECT row_id FROM firsts WHERE row_id NOT IN (SELECT id FROM nodes) OR row_id IN (SELECT id FROM kept)""",
-        "split_long_entries": f"""
-WITH RECURSIVE m AS (SELECT CASE WHEN trunc(avg(length(text))) > 0 THEN trunc(avg(length(text)))::INT ELSE 100 END AS n FROM shards),
-walk AS (SELECT row_id, -1 AS piece, NULL::VARCHAR AS chunk, text AS rest, false AS done FROM shards UNION ALL
-  SELECT row_id, piece + 1, CASE WHEN long THEN {_strip('substr(rest, 1, cut)')} ELSE rest END, CASE WHEN long THEN {_strip('substr(rest, cut + 1)')} END, NOT long OR {_strip('substr(rest, cut + 1)')} = ''
-  FROM (SELECT row_id, piece, rest, length(rest) > m.n AS long, CASE WHEN regexp_matches(substr(rest, 1, m.n), ' ') THEN length(regexp_extract(substr(rest, 1, m.n), '(?s)^(.*) ', 1)) ELSE m.n END AS cut FROM walk, m WHERE NOT done))
-SELECT row_id, piece, chunk AS text FROM walk WHERE piece >= 0""",
+        "near_dedup": _greedy_sql(_PAIRS),
+        "near_dedup_chunked": _greedy_sql(_PAIRS.replace("coalesce(s.lang, '') AS grp", "(s.k - 1) // 1000 || '#' || coalesce(s.lang, '') AS grp").replace("FROM shards s LEFT JOIN", "FROM (SELECT *, row_number() OVER (ORDER BY row_id) AS k FROM shards) s LEFT JOIN")),
+        "chunk_numbers": "SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 300 AS chunk FROM shards",
+        "io_routed_shards": f"SELECT row_id, lang, CASE WHEN best.n = 0 THEN 'Unknown' ELSE best.name END AS script FROM (SELECT row_id, lang, list_max([{counts}]) AS best FROM shards)",
+        "io_label_lines": f"SELECT {_LINE} AS value, {_CASE_SPLIT} AS subset FROM split_shards",
+        "io_predictions": f"WITH {_LATEST} SELECT nullif(gold, '') AS gold, nullif(pred, '') AS pred, printf('%.6f', coalesce(prob, 0.0))::DOUBLE AS prob, nullif(regexp_replace(coalesce(text, ''), '[\\t\\r\\n]+', ' ', 'g'), '') AS text FROM latest",
+        "human_sizes": "SELECT row_id, CASE WHEN n < 1024.0 THEN printf('%.1f B', n) WHEN n < 1024.0 ** 2 THEN printf('%.1f KB', n / 1024.0) WHEN n < 1024.0 ** 3 THEN printf('%.1f MB', n / 1024.0 ** 2) WHEN n < 1024.0 ** 4 THEN printf('%.1f GB', n / 1024.0 ** 3) ELSE printf('%.1f TB', n / 1024.0 ** 4) END AS size FROM (SELECT row_id, (2.0 ** (row_id % 47)) * 1.3 AS n FROM shards)",
+        "split_long_entries": _long_sql(10**15),
+        "split_long_batched": _long_sql(500),
         "stratified_split": f"WITH {_SPLIT} SELECT row_id, lang, split FROM splits",
         "split_stats": f"WITH {_SPLIT} SELECT split, count(*) AS n_rows, count(DISTINCT lang) AS n_labels FROM splits GROUP BY split",
         "split_label_summary": f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusloom-"))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` once in the checkpoint folder, so later reads don't recompute it."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -40,7 +40,7 @@ def prediction_rows(df: DataFrame) -> DataFrame:
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tab-separated, with a header, without quoting."""
-    prediction_rows(df).write.mode(mode).option("sep", "\t").option("header", "true").option("quote", "").option("escape", "").option("emptyValue", "").csv(path)
+    prediction_rows(df).write.mode(mode).option("sep", "\t").option("header", "true").option("quote", "").option("escape", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def write_arguments(spark, arguments: dict, path: str, mode: str = "overwrite") -> None:

@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from corpusloom import queries
@@ -102,3 +104,29 @@ def test_stateless_and_stateful_streams(spark, tmp_path):
     assert run(steps.prepare, "prepared").count() > 0
     assert run(steps.drop_repeats, "unique_rows").count() == 60
     assert run(lambda s: steps.counts_by_window(s, delay="1 hour"), "windows").agg(F.sum("n")).first()[0] > 0
+
+
+def test_training_from_lines_to_saved_models(spark, tmp_path):
+    words = {"aaa": "bada gudo", "bbb": "xilo xerp"}
+    rows = [(f"__label__{k}", f"{v} w{i}", "Latn", ("train", "train", "valid", "test")[i % 4]) for k, v in words.items() for i in range(24)]
+    rows += [("__label__c", "one", "Cyrl", "train"), ("__label__d", "two", "Cyrl", "test"), ("__label__c", "x", "Grek", "train"), ("__label__c", "y", "Grek", "valid"), ("__label__c", "z", "Grek", "test")]
+    lines = spark.createDataFrame(rows, "gold string, text string, script string, split string")
+    path = str(tmp_path / "models")
+    report = {r["script"]: r for r in model.train_and_save(lines, path, buckets=1 << 10, samples=2).collect()}
+    assert {k: r["status"] for k, r in report.items()} == {"Latn": "trained", "Cyrl": "a split is missing", "Grek": "fewer than two labels"}
+    assert report["Latn"]["accuracy"] == 1.0 and not report["Latn"]["quantised"] and len(report["Latn"]["samples"]) == 2
+    assert model.train_and_save(lines, path).where("script = 'Latn'").first()["status"] == "present"
+    again = model.load(spark, path, "Latn")
+    assert {r["pred"] for r in model.predict(again, lines.where("script = 'Latn' and gold = '__label__aaa'")).collect()} == {"__label__aaa"}
+    assert readers.read_predictions(spark, f"{path}/Latn/predictions").where("gold = pred").count() == 12
+    assert json.loads(spark.read.text(f"{path}/Latn/arguments").first()[0])["loss"] == "ova"
+
+
+def test_steps_count_their_rows(spark, tmp_path):
+    text = "one two three four five six seven eight nine ten eleven"
+    df = spark.createDataFrame([(1, text, "eng", "US"), (2, "", "eng", "US"), (3, "short", "eng", "US"), (4, text, "eng", "US")], "row_id long, text string, lang string, region_code string")
+    counters = {}
+    pipeline.run("full", df, until="short", counters=counters).collect()
+    assert {k: v.get["rows"] for k, v in counters.items()} == {"route": 4, "clean": 4, "pure": 4, "filter_empty": 3, "exact": 2, "near": 2, "short": 1}
+    pipeline.write_routed(df, str(tmp_path / "routed"))
+    assert {r["script"] for r in readers.read_shards(spark, str(tmp_path / "routed")).select("script").collect()} == {"Latn", "Unknown"}
