@@ -161,6 +161,9 @@ sizes AS (SELECT id, count(*) AS n FROM tok GROUP BY id HAVING count(*) >= 20),
 bag AS (SELECT tok.*, n FROM tok JOIN sizes USING (id))"""
 
 
+_SPLIT = "CASE WHEN lower(trim(split)) IN ('train', 'training') THEN 'train' WHEN lower(trim(split)) IN ('valid', 'val', 'validation') THEN 'valid' ELSE 'test' END"
+
+
 def oracle_sql() -> dict[str, str]:
     alike = "HAVING count(*) >= 0.7 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9"
     return {
@@ -175,6 +178,19 @@ SELECT t.lang FROM label_targets t LEFT JOIN counts c USING (lang), total WHERE
 WITH {_bags('split_shards', 'rec_id', ", lower(trim(split)) IN ('train', 'training') AS train")}
 SELECT least(a.id, b.id) AS rec_id_a, greatest(a.id, b.id) AS rec_id_b FROM bag a JOIN bag b USING (w, k)
 WHERE NOT a.train AND b.train AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) GROUP BY a.id, b.id {alike}""",
+        "p5_report": f"""
+WITH {_bags('split_shards', 'rec_id', f", {_SPLIT} AS split")},
+pairs AS (SELECT a.id FROM bag a JOIN bag b USING (w, k) WHERE a.split <> 'train' AND b.split = 'train' AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) GROUP BY a.id, b.id {alike}),
+hits AS (SELECT id, count(*) AS n FROM pairs GROUP BY id)
+SELECT {_SPLIT} AS split, source, count(*) AS records, count(n) AS overlapping, coalesce(sum(n), 0)::BIGINT AS pairs FROM split_shards s LEFT JOIN hits h ON h.id = s.rec_id WHERE {_SPLIT} <> 'train' GROUP BY 1, 2""",
+        "p6_groups": f"""
+WITH RECURSIVE {_bags('shards', 'row_id', '')},
+whole AS (SELECT id, list(w || ' ' || k ORDER BY w, k) AS words FROM bag GROUP BY id),
+member AS (SELECT id, min(id) OVER (PARTITION BY words) AS rep, count(*) OVER (PARTITION BY words) AS copies FROM whole),
+link AS (SELECT a.id AS a, b.id AS b FROM bag a JOIN bag b USING (w, k) WHERE a.id <> b.id AND a.id IN (SELECT rep FROM member) AND b.id IN (SELECT rep FROM member) AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) GROUP BY a.id, b.id {alike}),
+reach AS (SELECT a AS rep, b AS other FROM link UNION SELECT r.rep, l.b FROM reach r JOIN link l ON l.a = r.other),
+least_ AS (SELECT rep, min(other) AS other FROM reach GROUP BY rep), degree AS (SELECT a AS rep, count(*) AS links FROM link GROUP BY a)
+SELECT m.id AS row_id, least(m.rep, coalesce(l.other, m.rep)) AS group_id, copies, coalesce(links, 0) AS links FROM member m LEFT JOIN least_ l USING (rep) LEFT JOIN degree USING (rep)""",
         "p6_found": f"""
 WITH {_bags('shards', 'row_id', '')}
 SELECT a.id AS row_id_a, b.id AS row_id_b FROM bag a JOIN bag b USING (w, k)
