@@ -202,6 +202,34 @@ def test_reparameterised_item(spark):
     assert {r["kind"] for r in got} == {"re-parameterised"}
 
 
+def _edited(ws, kind, every):
+    rng, out = random.Random(every), []
+    for k, w in enumerate(ws, 1):
+        out += [w] if k % every else {"change": [rng.choice(ws)], "drop": [], "add": [w, rng.choice(ws)]}[kind]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("kind", ["change", "drop", "add"])
+@pytest.mark.parametrize("every", [5, 6, 7])
+def test_passages_with_an_edit_in_every_window_are_found(spark, kind, every):
+    rng = random.Random(every)
+    vocabulary = [f"word{i}" for i in range(400)]
+    texts = [[rng.choice(vocabulary) for _ in range(40)] for _ in range(30)]
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, _edited(t, kind, every)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r["id"], r["item_id"]) for r in leakage.leaks(docs, "doc_id", "text", items, "item_id", "text").collect()}
+    assert found == {(i, i) for i in range(30)}
+
+
+def test_many_items_are_searched_in_blocks(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"item {i} begins with a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i} and ends") for i in range(50)] + [(None, "x"), (99, None)], "item_id long, text string")
+    docs = items.selectExpr("item_id as doc_id", "text")
+    whole = sorted(tuple(r) for r in leakage.leaks(docs, "doc_id", "text", items, "item_id", "text").collect())
+    monkeypatch.setattr(leakage, "MAX_ITEMS", 15)
+    blocks = sorted(tuple(r) for r in leakage.leaks(docs, "doc_id", "text", items, "item_id", "text").collect())
+    assert [r[:2] for r in blocks] == [r[:2] for r in whole] and len(whole) >= 50
+
+
 def test_leaks_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
