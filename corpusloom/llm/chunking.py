@@ -57,14 +57,14 @@ def boundaries(text: str) -> tuple[list[int], list[int]]:
     return at, [strength[k] for k in at]
 
 
-def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, str]]:
-    """`(start, body_start, end, cut)` of each piece: `text[start:end]`, of which `text[start:body_start]` repeats
-    the end of the piece before; `cut` names the boundary at its end. A text within the limit is one piece."""
+def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP, at: list[int] | None = None, strength: list[int] | None = None) -> dict[int, int]:
+    """Where the text is cut, with the strength of each cut; nowhere if it is within the limit."""
     if len(text) <= limit:
-        return [(0, 0, len(text), "end")]
-    at, strength = boundaries(text)
+        return {}
+    if at is None or strength is None:
+        at, strength = boundaries(text)
     room = limit - overlap
-    cuts: dict[int, int] = {}
+    out: dict[int, int] = {}
     todo = [(0, len(text))]
     while todo:
         s, e = todo.pop()
@@ -84,9 +84,19 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
             else:
                 k = min((i for i in (left - 1, left) if lo <= i < hi), key=lambda i: abs(at[i] - mid))
             best, kind = at[k], strength[k]
-        cuts[best] = kind
+        out[best] = kind
         todo += [(s, best), (best, e)]
-    ends = [*sorted(cuts), len(text)]
+    return out
+
+
+def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, str]]:
+    """`(start, body_start, end, cut)` of each piece: `text[start:end]`, of which `text[start:body_start]` repeats
+    the end of the piece before; `cut` names the boundary at its end. A text within the limit is one piece."""
+    if len(text) <= limit:
+        return [(0, 0, len(text), "end")]
+    at, strength = boundaries(text)
+    found = cuts(text, limit, overlap, at, strength)
+    ends = [*sorted(found), len(text)]
     out, body = [], 0
     for end in ends:
         start = body
@@ -97,7 +107,7 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
                 start = at[k]
             while start < body and text[start].isspace():
                 start += 1
-        out.append((start, body, end, NAMES[cuts[end]] if end in cuts else "end"))
+        out.append((start, body, end, NAMES[found[end]] if end in found else "end"))
         body = end
     return out
 
@@ -127,9 +137,22 @@ def pieces(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overla
     return rows.mapInArrow(_run(limit, overlap), f"id {id_type}, piece int, start int, body_start int, end int, cut string, text string")
 
 
+def _judge(limit: int, overlap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [cuts(t, limit, overlap) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([HARD in c.values() for c in found], pa.bool_()), pa.array([len(c) + 1 for c in found], pa.int64())], names=["id", "hard", "n"])
+
+    return run
+
+
 def oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """`id, cut, pieces`: each text over the limit, `hard` if one of its cuts isn't at a boundary, else `soft`.
 
-    Ids repeat where the input's do; each row's pieces are counted with those of its id."""
-    p = pieces(df, id_col, text_col, limit, overlap)
-    return p.groupBy("id").agg(F.when(F.max(F.col("cut") == "hard"), "hard").otherwise("soft").alias("cut"), F.count("*").alias("pieces"))
+    Ids repeat where the input's do; each row's pieces are counted with those of its id. Texts are cut as in `pieces`,
+    but only the kind of the cuts leaves the task."""
+    if not 0 <= overlap < limit:
+        raise ValueError("overlap must be less than limit")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > limit)
+    judged = rows.mapInArrow(_judge(limit, overlap), f"id {rows.schema['id'].dataType.simpleString()}, hard boolean, n long")
+    return judged.groupBy("id").agg(F.when(F.max("hard"), "hard").otherwise("soft").alias("cut"), F.sum("n").alias("pieces"))
