@@ -24,16 +24,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
 
 
+def partitions_for(spark: SparkSession, rows: int, most: int) -> int:
+    """Partitions of a shuffle of so many rows, so that none has many more than `most`; the session's number at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
+
+
 #: Rows of a partition that `by_id` aims at.
 BLOCK_ROWS = 1 << 18
 
 
+def blocks_of(rows: int) -> int:
+    return -(-max(rows, 1) // BLOCK_ROWS)
+
+
 def by_id(df: DataFrame, id_col: str, rows: int, *first: str) -> DataFrame:
     """The rows dealt out by the hash of their id, in order of the columns `first`, that hash and the id.
 
     How many partitions there are depends on `rows`, the number of rows, alone, so what is drawn along them is the same on
     every cluster and for every layout of the input."""
-    return df.repartition(-(-max(rows, 1) // BLOCK_ROWS), F.col(id_col)).sortWithinPartitions(*first, F.xxhash64(id_col), id_col)
+    return df.repartition(blocks_of(rows), F.col(id_col)).sortWithinPartitions(*first, F.xxhash64(id_col), id_col)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
