@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..operators.graph import connected_components
 from ..operators.skew import expand, run_leads
-from ..runtime import cut
+from ..runtime import cut, partitions_for
 from . import prefix
 from .prefix import similarity
 from .words import Hasher, as_int32, bag_keys, bags, mix, parity_bits
@@ -44,6 +44,8 @@ BITMAP_LOG = 28
 NODE_BITS = 40
 #: Bags whose blocks a task remembers having sent already.
 _SEEN = 1 << 20
+#: Rows of a partition of the block join.
+_BLOCK_ROWS = 1 << 20
 _U = np.uint64
 _WORDS = BITS // 64
 
@@ -170,7 +172,8 @@ def _by_blocks(signed: DataFrame, classes: DataFrame, threshold: float) -> DataF
     payload = ("n", "p0", "p1", "p2", "p3", "m")
     sent = signed.select(_node().alias("node"), *payload, F.posexplode("blocks").alias("number", "value"))
     key = F.expr("shiftleft(cast(number as bigint), 32) | (cast(value as bigint) & 4294967295)")
-    keyed = sent.select(key.alias("block"), "node", *payload).repartition("block").distinct()
+    parts = partitions_for(signed.sparkSession, signed.count() * BLOCKS, _BLOCK_ROWS)
+    keyed = sent.select(key.alias("block"), "node", *payload).repartition(parts, "block").distinct()
     a, b = (keyed.select("block", *[F.col(c).alias(f"{c}_{s}") for c in ("node", *payload)]) for s in "ab")
     shorter, longer = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - threshold) / (1 + threshold)) + 1e-9

@@ -19,6 +19,15 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumnRenamed("id", "row_id")
 
 
+def p1_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts put together again from their pieces, and whether every piece keeps to the limit and overlap."""
+    p = chunking.pieces(table(spark, sf_dir, "shards"), "row_id", "text", only_long=False)
+    body = F.struct("piece", F.substr("text", F.col("body_start") - F.col("start") + 1).alias("t"))
+    fits = F.bool_and((F.length("text") <= chunking.LIMIT) & (F.col("body_start") - F.col("start") <= chunking.OVERLAP))
+    whole = p.groupBy(F.col("id").alias("row_id")).agg(F.sort_array(F.collect_list(body)).alias("b"), fits.alias("fits"))
+    return whole.select("row_id", F.array_join("b.t", "").alias("text"), "fits")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = markup.cleaned(table(spark, sf_dir, "shards"), "row_id", "text")
     return c.select(F.col("id").alias("row_id"), F.explode("kinds").alias("markup"))
@@ -138,7 +147,7 @@ def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (p1_found, p1_pieces, p2_found, p2_clean, p3_found, p3_languages, p3_segments, p4_found, p4_report, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_mixture, p10_found, p10_profiles, p10_stats)
+    named = (p1_found, p1_pieces, p1_rejoined, p2_found, p2_clean, p3_found, p3_languages, p3_segments, p4_found, p4_report, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_mixture, p10_found, p10_profiles, p10_stats)
     return {q.__name__: q for q in named}
 
 
@@ -170,6 +179,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": r"""
 SELECT row_id, CASE WHEN list_max(list_transform(regexp_split_to_array(text, '[\s\x{1c}-\x{1f}\x{85}\p{Z}.!?…。！？।؟።]'), lambda x: length(x))) > 1500 THEN 'hard' ELSE 'soft' END AS cut
 FROM shards WHERE length(text) > 1500""",
+        "p1_rejoined": "SELECT row_id, text, true AS fits FROM shards WHERE text IS NOT NULL",
         "p4_found": f"""
 WITH {_READS}, labelled AS (SELECT {_READ.format('s.lang')} AS lang FROM shards s), counts AS (SELECT lang, count(*) AS n FROM labelled WHERE lang IS NOT NULL GROUP BY lang),
 total AS (SELECT sum(n) // 5 AS n FROM counts)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import reads_as  # noqa: F401  (part of this operator's interface)
-from ..runtime import by_id, cut, small
+from ..runtime import blocks_of, by_id, cut, small
 from .words import mix
 
 FRACTION = 5
@@ -130,7 +130,7 @@ def cube_sample(df: DataFrame, id_col: str, category: Column, sizes: dict[str, t
     total = sum(n for c, (k, n) in sizes.items() if k)
     rows = df.select(F.col(id_col).alias("id"), category.alias("category")).join(rates, "category")
     rows = by_id(rows.select("id", "category", F.xxhash64(F.lit(seed), "id").alias("h"), "p"), "id", total)
-    parts = rows.rdd.getNumPartitions()
+    parts = blocks_of(total)
     state, step = rows.mapInPandas(_flight(seed, parts == 1), schema), 0
     chosen = []
     while parts > 1:
