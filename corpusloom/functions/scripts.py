@@ -90,6 +90,32 @@ def dominant(t: ScriptTable, text: str | None) -> str:
     return counts.most_common(1)[0][0] if counts else "Unknown"
 
 
+def counts(t: ScriptTable, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+    """(texts x scripts, scripts in order): code points of each script in each text, noise left out. All texts are looked
+    up as one array of code points."""
+    names = [n for n in t.names if n not in TEXT_NOISE]
+    column = {n: i for i, n in enumerate(names)}
+    belongs = np.zeros((len(t.kinds), len(names)), np.int64)
+    for k, kind in enumerate(t.kinds):
+        for n in kind:
+            if n in column:
+                belongs[k, column[n]] = 1
+    sizes = np.array([len(x) if x else 0 for x in texts], np.int64)
+    kinds = t.of("".join(x for x in texts if x))
+    width = len(t.kinds)
+    by_kind = np.bincount(np.repeat(np.arange(len(texts)), sizes) * width + kinds, minlength=len(texts) * width).reshape(-1, width)
+    return by_kind @ belongs, names
+
+
+def _batches(values: pd.Series, size: int = 2000):
+    for s in range(0, len(values), size):
+        yield values.iloc[s : s + size].tolist()
+
+
+def _plain(value) -> str | None:
+    return value if isinstance(value, str) else None
+
+
 def dominant_script(spark: SparkSession, c: Column, extensions: bool = True) -> Column:
     """Script code of each text; NULL, empty and scriptless texts are `Unknown`."""
     shared = spark.sparkContext.broadcast(table(spark, extensions).__dict__)
@@ -98,7 +124,16 @@ def dominant_script(spark: SparkSession, c: Column, extensions: bool = True) ->
     def run(s: pd.Series) -> pd.Series:
         t = ScriptTable.__new__(ScriptTable)
         t.__dict__.update(shared.value)
-        return s.map(lambda x: dominant(t, x))
+        out: list[str] = []
+        for texts in _batches(s):
+            texts = [_plain(x) for x in texts]
+            n, names = counts(t, texts)
+            best = n.argmax(1)
+            most = n[np.arange(len(n)), best]
+            tied = (n == most[:, None]).sum(1) > 1
+            # where scripts tie the first met counts, which the order in the text decides
+            out += ["Unknown" if not m else dominant(t, x) if two else names[b] for x, b, m, two in zip(texts, best, most, tied)]
+        return pd.Series(out, index=s.index, dtype=object)
 
     return run(c)
 
@@ -111,17 +146,11 @@ def script_histogram(spark: SparkSession, df: DataFrame, id_col: str, c: Column,
     def run(s: pd.Series) -> pd.Series:
         t = ScriptTable.__new__(ScriptTable)
         t.__dict__.update(shared.value)
-
-        def count(x):
-            counts: Counter = Counter()
-            if x:
-                for k, n in zip(*np.unique(t.of(x), return_counts=True)):
-                    for name in t.kinds[k]:
-                        if name not in TEXT_NOISE:
-                            counts[name] += int(n)
-            return [{"script": k, "n": n} for k, n in sorted(counts.items())]
-
-        return s.map(count)
+        out: list[list[dict]] = []
+        for texts in _batches(s):
+            n, names = counts(t, [_plain(x) for x in texts])
+            out += [[{"script": names[k], "n": int(row[k])} for k in np.nonzero(row)[0]] for row in n]
+        return pd.Series(out, index=s.index, dtype=object)
 
     rows = df.select(F.col(id_col).alias("id"), F.explode(run(c)).alias("x"))
     return rows.select("id", "x.script", "x.n")

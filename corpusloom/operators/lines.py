@@ -43,6 +43,12 @@ def check_prefix(df: DataFrame, line: str = "value", prefix: str = T.LABEL) -> N
         raise ValueError(f"labels must start with {prefix!r}")
 
 
+def prefix_counts(df: DataFrame, line: str = "value", prefix: str = T.LABEL) -> DataFrame:
+    """`n_lines, n_labelled`: non-blank lines, and those of them that start with the prefix."""
+    s = df.select(T.strip(F.col(line)).alias("s")).where("s <> ''")
+    return s.agg(F.count("*").alias("n_lines"), F.count_if(F.startswith("s", F.lit(prefix))).alias("n_labelled"))
+
+
 def training_plan(df: DataFrame, line: str = "value", script: str = "script", forced_dsub: int | None = None, cutoff: int | None = None) -> DataFrame:
     """Per script: vocabulary, profile and quantiser settings. Only four-letter script codes are planned for."""
     stats = vocabulary_stats(df.where(F.regexp_like(F.col(script), F.lit("^[A-Za-z]{4}$"))), line, [script])

@@ -8,9 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, OneVsRest
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,29 +134,79 @@ def quantisation_gates(vocab: int, labels: int, least: int = 256) -> tuple[bool,
     return vocab >= least, labels >= least
 
 
-def quantise(df: DataFrame, vector: str, dim: int, dsub: int = 4, codes: int = 256, seed: int = 1) -> tuple[DataFrame, list]:
+def _first_centres(vectors: DataFrame, parts: int, width: int, codes: int, seed: int) -> np.ndarray:
+    """(parts, codes, width) centres to start from: of a sample of 8 x `codes` vectors in order of a seeded hash, for each
+    sub-vector the different values farthest apart, one after another."""
+    drawn = vectors.orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(8 * codes).collect()
+    sample = np.array([r["v"] for r in drawn], float).reshape(-1, parts, width)
+    out = np.zeros((parts, codes, width))
+    for k in range(parts):
+        own = np.unique(sample[:, k], axis=0)
+        if not len(own):
+            continue
+        chosen, gap = [0], ((own - own[0]) ** 2).sum(1)
+        while len(chosen) < min(codes, len(own)):
+            chosen.append(int(gap.argmax()))
+            gap = np.minimum(gap, ((own - own[chosen[-1]]) ** 2).sum(1))
+        # fewer different values than codes: the rest repeat the first, which is always preferred
+        out[k] = own[chosen + [chosen[0]] * (codes - len(chosen))]
+    return out
+
+
+def _nearest(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """(vectors, parts) numbers of the nearest centres."""
+    parts, _, width = centres.shape
+    v = v.reshape(len(v), parts, width)
+    return np.stack([((c**2).sum(1)[None] - 2 * v[:, k] @ c.T).argmin(1) for k, c in enumerate(centres)], 1)
+
+
+def quantise(df: DataFrame, vector: str, dim: int, dsub: int = 4, codes: int = 256, seed: int = 1, rounds: int = 10) -> tuple[DataFrame, list]:
     """Product quantisation: the rows with `codes`, one centre number per sub-vector of width `dsub` (1 if it doesn't
-    divide `dim`), and the centres. NULL vectors and those of another length have NULL codes."""
+    divide `dim`), and the centres. NULL vectors and those of another length have NULL codes.
+
+    Lloyd's rounds run over all vectors and for all sub-vectors at once: each task adds up its vectors by centre, and what
+    meets on the driver has the size of the codebook, which the parameters set."""
     if dim % dsub:
         dsub = 1
+    parts = dim // dsub
+    spark = df.sparkSession
     whole = df.withColumn("_v", F.when(F.size(vector) == dim, F.col(vector).cast("array<double>")))
-    centres = []
-    for k in range(dim // dsub):
-        piece = array_to_vector(F.slice("_v", k * dsub + 1, dsub)).alias("features")
-        fitted = KMeans(k=codes, seed=seed + k, maxIter=10).fit(whole.where("_v is not null").select(piece))
-        centres.append([[float(x) for x in row] for row in fitted.clusterCenters()])
-    # centres are as large as the parameters say, whatever the input
-    shared = df.sparkSession.sparkContext.broadcast(centres)
+    vectors = whole.where("_v is not null").select(F.col("_v").alias("v"))
+    centres = _first_centres(vectors, parts, dsub, codes, seed) if parts else np.zeros((0, codes, dsub))
+
+    def sums(shared):
+        def run(frames):
+            total, n = np.zeros((parts, codes, dsub)), np.zeros((parts, codes), np.int64)
+            for f in frames:
+                v = np.stack(f["v"].to_numpy())
+                near = _nearest(v, shared.value)
+                for k in range(parts):
+                    np.add.at(total[k], near[:, k], v[:, k * dsub : (k + 1) * dsub])
+                    n[k] += np.bincount(near[:, k], minlength=codes)
+            at = np.argwhere(n > 0)
+            yield pd.DataFrame({"k": at[:, 0], "c": at[:, 1], "n": [int(n[k, c]) for k, c in at], "s": [total[k, c].tolist() for k, c in at]})
+
+        return run
+
+    for _ in range(rounds if parts else 0):
+        found = vectors.mapInPandas(sums(spark.sparkContext.broadcast(centres)), "k int, c int, n long, s array<double>")
+        added = found.groupBy("k", "c").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.get("s", F.lit(j))) for j in range(dsub)]).alias("s")).collect()
+        moved = centres.copy()
+        for r in added:
+            moved[r["k"], r["c"]] = np.array(r["s"]) / r["n"]
+        still = np.allclose(moved, centres, rtol=0, atol=1e-6)
+        centres = moved
+        if still:
+            break
+    shared = spark.sparkContext.broadcast(centres)
 
     @F.pandas_udf("array<int>")
     def nearest(vectors: pd.Series) -> pd.Series:
         full = vectors.notna().to_numpy()
         out: list = [None] * len(vectors)
         if full.any():
-            v = np.stack(vectors[full].to_numpy())
-            parts = [((v[:, None, k * dsub : (k + 1) * dsub] - np.array(c)[None]) ** 2).sum(2).argmin(1) for k, c in enumerate(shared.value)]
-            for i, row in zip(np.nonzero(full)[0], np.stack(parts, 1).tolist()):
+            for i, row in zip(np.nonzero(full)[0], _nearest(np.stack(vectors[full].to_numpy()), shared.value).tolist()):
                 out[i] = row
         return pd.Series(out, dtype=object)
 
-    return whole.withColumn("codes", nearest("_v")).drop("_v"), centres
+    return whole.withColumn("codes", nearest("_v")).drop("_v"), centres.tolist()

@@ -90,6 +90,13 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.signature_pairs(firsts)
 
 
+def near_dup_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row with the same language and signature, for every row: the membership beside `near_dup_pairs`."""
+    signed = _signed(spark, sf_dir).select("row_id", F.coalesce("lang", F.lit("")).alias("grp"), "sig")
+    keys = signed.select(F.xxhash64("grp").alias("g"), "sig", "row_id")
+    return skew.run_leads(keys, ["g", "sig"], "row_id")[0].select(F.col("id").alias("row_id"), F.col("lead").alias("first_id"))
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_dedup(shards(spark, sf_dir)).select("row_id")
 
@@ -327,6 +334,7 @@ QUERIES = {
     "simhash": simhash,
     "lsh_bands": lsh_bands,
     "near_dup_pairs": near_dup_pairs,
+    "near_dup_members": near_dup_members,
     "near_dedup": near_dedup,
     "near_dedup_chunked": near_dedup_chunked,
     "chunk_numbers": chunk_numbers,
@@ -352,6 +360,7 @@ QUERIES = {
     "line_subset": line_subset,
     "label_scan": label_scan,
     "label_scan_topk": label_scan_topk,
+    "label_prefixes": lambda spark, sf_dir: lines.prefix_counts(_training_lines(spark, sf_dir)),
     "line_labels": line_labels,
     "vocab_stats": vocab_stats,
     "training_profile": training_profile,
@@ -538,6 +547,8 @@ SELECT row_id, {_strip(social)} AS text FROM shards""",
         "simhash": f"WITH {_SIG} SELECT row_id, sig FROM signed",
         "lsh_bands": f"WITH {_SIG} SELECT row_id, b AS band, (CASE WHEN b < 4 THEN ((sig & 4294967295) >> (8 * b)) ELSE (((sig >> 32) & 4294967295) >> (8 * (b - 4))) END & 255)::BIGINT AS v FROM signed, range(8) t(b)",
         "near_dup_pairs": f"WITH {_PAIRS} SELECT x, y FROM links",
+        "near_dup_members": f"WITH {_SIG} SELECT row_id, min(row_id) OVER (PARTITION BY grp, sig) AS first_id FROM signed",
+        "label_prefixes": f"SELECT count(*) AS n_lines, count(*) FILTER (starts_with(s, '__label__')) AS n_labelled FROM (SELECT {_strip('line_text')} AS s FROM training_lines) WHERE s <> ''",
         "near_dedup": _greedy_sql(_PAIRS),
         "near_dedup_chunked": _greedy_sql(_PAIRS.replace("coalesce(s.lang, '') AS grp", "(s.k - 1) // 1000 || '#' || coalesce(s.lang, '') AS grp").replace("FROM shards s LEFT JOIN", "FROM (SELECT *, row_number() OVER (ORDER BY row_id) AS k FROM shards) s LEFT JOIN")),
         "chunk_numbers": "SELECT row_id, (row_number() OVER (ORDER BY row_id) - 1) // 300 AS chunk FROM shards",
