@@ -15,10 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import expand
+from ..runtime import broadcast_if_small
 from .words import Hasher, as_int32, bag_keys, bags, parity_bits
 
 #: Counters of the rarity sketch: the most rows that reach the driver, whatever the input.
 SKETCH = 1 << 18
+#: Entries of a token from which on it is spread.
+HOT = 50_000
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -82,8 +86,14 @@ def entries(classes: DataFrame, threshold: float) -> DataFrame:
 
 
 def meet(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """`rep_l, rep_r`, possibly repeated, of entries that share a token and may reach the threshold."""
-    l, r = (side.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "at", "p1", "p2")]) for side, s in ((left, "l"), (right, "r")))
+    """`rep_l, rep_r`, possibly repeated, of entries that share a token and may reach the threshold.
+
+    A token in more than HOT entries of the left side is spread over several tasks."""
+    columns = ("rep", "n", "at", "p1", "p2")
+    l = left.select("token", *[F.col(c).alias(f"{c}_l") for c in columns])
+    # at most one in HOT of the entries' tokens
+    hot = left.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select(F.col("token").alias("lead"))
+    hot = broadcast_if_small(hot)
     # holds for the first common token of every true pair: none is common before it, so the rest must do
     needed = F.lit(threshold / (1 + threshold)) * (F.col("n_l") + F.col("n_r")) - 1e-9
     apart = F.bit_count(F.col("p1_l").bitwiseXOR(F.col("p1_r"))) + F.bit_count(F.col("p2_l").bitwiseXOR(F.col("p2_r")))
@@ -92,4 +102,4 @@ def meet(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
         & (F.least("n_l", "n_r") >= threshold * F.greatest("n_l", "n_r") - 1e-9)
         & (F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) >= needed)
     )
-    return l.join(r, "token").where(possible).select("rep_l", "rep_r")
+    return expand(l, "token", right.select("token", *columns), "token", {c: f"{c}_r" for c in columns}, hot).where(possible).select("rep_l", "rep_r")

@@ -119,6 +119,18 @@ def test_overlaps_against_brute_force(spark):
     assert sum(r["records"] for r in report) == sum(s in ("valid", "test") for s in side.values())
 
 
+def test_hot_words_are_spread(spark, monkeypatch):
+    from corpusloom.llm import prefix
+
+    monkeypatch.setattr(prefix, "HOT", 5)
+    texts = corpus(6, groups=10)
+    rows = [(i, t, ("train", "valid")[i % 2]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "rec_id long, text string, split string")
+    got = {(r["eval_id"], r["train_id"]) for r in overlap.pairs(df, "rec_id", "text", "split").collect()}
+    long = [i for i, t, _ in rows if len(words(t)) >= 20]
+    assert got == {(e, t) for e in long if e % 2 for t in long if not t % 2 and similarity(texts[e], texts[t]) >= 0.7}
+
+
 def test_overlaps_of_nothing(spark):
     empty = spark.createDataFrame([], "rec_id long, text string, split string, source string")
     assert overlap.pairs(empty, "rec_id", "text", "split").count() == 0
