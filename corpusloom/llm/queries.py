@@ -73,6 +73,12 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.balance_report(*_sampling(spark, sf_dir)).withColumnRenamed("category", "lang")
 
 
+def p4_wants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the report doesn't depend on draws, and whether the sample has exactly what was allocated."""
+    r = p4_report(spark, sf_dir)
+    return r.select("lang", "available", "wanted", "share", "short", (F.col("residual") == 0).alias("met"))
+
+
 def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.balanced_sample(*_sampling(spark, sf_dir)).select(F.col("id").alias("row_id"), F.col("category").alias("lang"))
 
@@ -127,6 +133,14 @@ def p9_report(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) ->
     return _mixture(spark, sf_dir, _tokens(spark, tokenizer)).report()
 
 
+def p9_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the report in words doesn't depend on draws, and whether the actual share of each source that isn't short
+    is its target but for rounding."""
+    r = _mixture(spark, sf_dir, mixing.word_sizes).report()
+    near = F.abs(F.col("actual_share") - F.col("target_share")) <= 0.01
+    return r.select("source", "documents", "available", "target_share", "max_repeats", "short", F.when(~F.col("short"), near).alias("met"))
+
+
 def p9_mixture(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     return _mixture(spark, sf_dir, _tokens(spark, tokenizer)).documents().withColumnRenamed("id", "doc_id")
 
@@ -147,7 +161,7 @@ def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (p1_found, p1_pieces, p1_rejoined, p2_found, p2_clean, p3_found, p3_languages, p3_segments, p4_found, p4_report, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_mixture, p10_found, p10_profiles, p10_stats)
+    named = (p1_found, p1_pieces, p1_rejoined, p2_found, p2_clean, p3_found, p3_languages, p3_segments, p4_found, p4_report, p4_wants, p4_sample, p5_found, p5_report, p6_found, p6_groups, p8_found, p8_leaks, p9_found, p9_report, p9_supply, p9_mixture, p10_found, p10_profiles, p10_stats)
     return {q.__name__: q for q in named}
 
 
@@ -184,6 +198,11 @@ FROM shards WHERE length(text) > 1500""",
 WITH {_READS}, labelled AS (SELECT {_READ.format('s.lang')} AS lang FROM shards s), counts AS (SELECT lang, count(*) AS n FROM labelled WHERE lang IS NOT NULL GROUP BY lang),
 total AS (SELECT sum(n) // 5 AS n FROM counts)
 SELECT t.lang FROM label_targets t LEFT JOIN counts c USING (lang), total WHERE coalesce(c.n, 0) < greatest(t.min_rows, floor(t.target_share * total.n))""",
+        "p4_wants": f"""
+WITH {_READS}, labelled AS (SELECT {_READ.format('s.lang')} AS lang FROM shards s), counts AS (SELECT lang, count(*) AS n FROM labelled WHERE lang IS NOT NULL GROUP BY lang),
+total AS (SELECT sum(n) // 5 AS n FROM counts)
+SELECT t.lang, coalesce(c.n, 0) AS available, greatest(t.min_rows, floor(t.target_share * total.n))::BIGINT AS wanted, t.target_share AS share, coalesce(c.n, 0) < greatest(t.min_rows, floor(t.target_share * total.n)) AS short, true AS met
+FROM label_targets t LEFT JOIN counts c USING (lang), total""",
         "p5_found": f"""
 WITH {_bags('split_shards', 'rec_id', ", lower(trim(split)) IN ('train', 'training') AS train")}
 SELECT least(a.id, b.id) AS rec_id_a, greatest(a.id, b.id) AS rec_id_b FROM bag a JOIN bag b USING (w, k)
@@ -209,6 +228,11 @@ WHERE a.id < b.id AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) GROUP BY a.id,
 WITH sized AS (SELECT nullif(lower(trim(source)), '') AS source, len(regexp_extract_all(coalesce(text, ''), '{_SOLID}+')) AS n FROM documents),
 have AS (SELECT source, sum(n) AS n FROM sized WHERE source IS NOT NULL GROUP BY source), total AS (SELECT sum(n) AS n FROM have)
 SELECT t.source FROM source_targets t LEFT JOIN have h USING (source), total WHERE coalesce(h.n, 0) * t.max_repeats < t.target_share * total.n""",
+        "p9_supply": f"""
+WITH sized AS (SELECT nullif(lower(trim(source)), '') AS source, len(regexp_extract_all(coalesce(text, ''), '{_SOLID}+')) AS n FROM documents),
+have AS (SELECT source, count(*) AS docs, sum(n) AS n FROM sized WHERE source IS NOT NULL GROUP BY source), total AS (SELECT sum(n) AS n FROM have)
+SELECT t.source, coalesce(h.docs, 0) AS documents, coalesce(h.n, 0)::BIGINT AS available, t.target_share, t.max_repeats, coalesce(h.n, 0) * t.max_repeats < t.target_share * total.n AS short,
+  CASE WHEN coalesce(h.n, 0) * t.max_repeats >= t.target_share * total.n THEN true END AS met FROM source_targets t LEFT JOIN have h USING (source), total""",
         "p10_stats": f"""
 WITH {_READS}, base AS (
   SELECT doc_id, text, {_READ.format('d.lang')} AS lang, list_filter(regexp_split_to_array(text, '{_BLANK}+'), lambda w: w <> '') AS tokens,
