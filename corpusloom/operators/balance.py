@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import draw
-from ..runtime import broadcast_if_small
+from ..runtime import broadcast_if_small, partitions_for
 from .split import ranked
 
 MODES = ("max", "median_x2", "none")
@@ -57,12 +57,14 @@ def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_i
         """The rows of groups that lack some, once for every salt."""
         return df.join(aims, same(df, columns, aims, names)).select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_at"))
 
+    # a row's salts part before each join, however it is done, so that its copies don't stay together
+    parts = partitions_for(df.sparkSession)
     # ids alone are ranked and drawn; the rows are joined once, on their id
     keys = [f"_g{i}" for i in range(len(group))]
-    numbered = salted(ranked(rows.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(row_id).alias("_id")), keys, [F.col("_id")], "_rank"), keys)
+    numbered = salted(ranked(rows.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(row_id).alias("_id")), keys, [F.col("_id")], "_rank"), keys).repartition(parts, *keys, "_rank", "_at")
     on = (numbered["_rank"] == draws["_pick"]) & (numbered["_at"] == draws["_salt"]) & same(numbered, keys, draws, [f"_d{i}" for i in range(len(group))])
     drawn = numbered.join(draws, on).select("_id", "copy", "_salt")
-    source = salted(rows, group)
+    source = salted(rows, group).repartition(parts, row_id, "_at")
     extra = source.join(drawn, (source[row_id] == drawn["_id"]) & (source["_at"] == drawn["_salt"])).select(*rows.columns, "copy")
     return rows.withColumn("copy", F.lit(0).cast("long")).unionByName(extra)
 

@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from ..runtime import cut
 
 
-def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """`node, component` with `component` the least node of each component. Isolated nodes don't occur.
 
     Each step is one shuffle; every node's neighbourhood is reduced by aggregation and joined back, never
-    collected into one row, so a hub of any degree is fine. Rounds grow with the logarithm of the diameter.
+    collected into one row, so a hub of any degree is fine. Rounds grow with the logarithm of the diameter
+    and end when nothing changes.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = cut(e)
     before = None
-    for _ in range(max_rounds):
+    while True:
         # large star: every larger neighbour is linked to the least of the neighbourhood
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -30,4 +31,3 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 50)
         if state == before:
             return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = state
-    raise RuntimeError("components did not settle")

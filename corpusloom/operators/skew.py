@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..runtime import cut
+from ..runtime import cut, partitions_for
 
 _STATE = "part int, key string, source string, n long, n_len long, sum_len long, d long, f1 long, f2 long, l1 long, l2 long"
 
@@ -161,5 +161,7 @@ def expand(df: DataFrame, key: str, rows: DataFrame, lead: str, columns: dict[st
     right = rows.join(hot, F.col(lead) == F.col("_hot"), "left").select(F.col(lead).alias("_key"), salt.alias("_salt"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
     every = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = df.join(hot, F.col(key) == F.col("_hot"), "left").select(*[df[c] for c in df.columns], F.explode(every).alias("_at"))
+    # the salts of one key come from one row; they part before the join, however it is done
+    left = left.repartition(partitions_for(df.sparkSession), key, "_at")
     out = left.join(right, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_salt")))
     return out.select(*df.columns, *[F.col(f"_c{i}").alias(new) for i, new in enumerate(columns.values())])

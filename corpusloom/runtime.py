@@ -24,8 +24,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
 
 
-def partitions_for(spark: SparkSession, rows: int, most: int) -> int:
-    """Partitions of a shuffle of so many rows, so that none has many more than `most`; the session's number at least."""
+def partitions_for(spark: SparkSession, rows: int = 0, most: int = 1) -> int:
+    """Partitions of a shuffle of so many rows, so that none has many more than `most`; the session's number at least.
+
+    Named as a number, they aren't merged again because what is shuffled looks small."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
 
 
