@@ -300,10 +300,9 @@ class Reference:
         at = _SLICES["chars"].start
         known = self.class_of
         for c, n in Counter(text).items():
-            k = known.get(c)
-            if k is None:
-                k = known[c] = _class_of(c)
-            v[at + k] += n
+            if c not in known:
+                known[c] = _class_of(c)
+            v[at + known[c]] += n
         length, cells, end, lead = (_SLICES[b].start for b in ("length", "cells", "end", "lead"))
         for line in text.split("\n"):
             line = line.strip()
@@ -330,7 +329,9 @@ class Reference:
         for w, n in bag.items():
             k = plain.get(w)
             if k is None:
-                if len(w) >= 41 and w.isascii():
+                if len(w) < 41 and w.isalpha():
+                    k = odd(w)
+                elif len(w) >= 41 and w.isascii():
                     k = plain[w] = 6
                 elif any(map(str.isdigit, w)):
                     k = plain[w] = 5 if _NUMBER.fullmatch(w) else 7
