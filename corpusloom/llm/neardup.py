@@ -67,7 +67,8 @@ def fingerprints(tokens: np.ndarray, sizes: np.ndarray, long: float = LONG) -> t
     blocks = np.zeros((n, BLOCKS), _U)
     bits = np.zeros((int(many.sum()), _WORDS), _U)
     starts = np.cumsum(sizes) - sizes
-    wide = tokens[np.repeat(many, sizes)]
+    # beyond the blocks only bits are wanted, for which half the width will do
+    wide = (mix(tokens[np.repeat(many, sizes)]) >> _U(32)).astype(np.uint32)
     wide_starts = np.cumsum(sizes[many]) - sizes[many]
     for k, seed in enumerate(_seeds(max(BITS, BLOCKS * ROWS))):
         b = k // ROWS
@@ -76,7 +77,7 @@ def fingerprints(tokens: np.ndarray, sizes: np.ndarray, long: float = LONG) -> t
             blocks[:, b] = mix(blocks[:, b] ^ symbol ^ _U(b + 1))
             symbol = symbol[many]
         elif len(bits):
-            symbol = mix(np.minimum.reduceat((wide * seed) >> _U(24), wide_starts))
+            symbol = mix(np.minimum.reduceat(wide * np.uint32(int(seed) >> 32 | 1), wide_starts).astype(_U))
         else:
             break
         if k < BITS:
@@ -232,7 +233,8 @@ def representative_links(df: DataFrame, id_col: str, text_col: str, threshold: f
     candidates = cut(_by_prefixes(df, id_col, text_col, threshold, min_words) if exact else _by_blocks(signed, classes, threshold))
     # a bitmap of the candidates' ids goes to the texts, so that other texts are neither hashed again nor moved
     wanted = df.sparkSession.sparkContext.broadcast(_bitmap(candidates.select(F.explode(F.array("rep_a", "rep_b")).alias("id")).distinct(), "id"))
-    tokens = _texts(df, id_col, text_col).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_tokens(wanted), "id long, tokens array<int>")
+    # read by both joins, so hashed once
+    tokens = cut(_texts(df, id_col, text_col).select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(_tokens(wanted), "id long, tokens array<int>"))
     links = (
         candidates.join(tokens.select(F.col("id").alias("rep_a"), F.col("tokens").alias("ta")), "rep_a")
         .join(tokens.select(F.col("id").alias("rep_b"), F.col("tokens").alias("tb")), "rep_b")
