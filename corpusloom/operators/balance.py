@@ -45,7 +45,9 @@ def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_i
     # needs are exploded in two steps, so a group that lacks millions of rows isn't one task's work
     names = [f"_a{i}" for i in range(len(group))]
     blocks = aims.select(*names, "_n", "_need", "_salts", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("_need") - 1) / _BLOCK).cast("long"))).alias("_b"))
-    blocks = blocks.repartition("_b", *names)
+    # a number of partitions keeps these few rows, from which millions are drawn, from being merged into one task
+    parts = partitions_for(df.sparkSession)
+    blocks = blocks.repartition(parts, "_b", *names)
     draws = blocks.select(*names, "_n", "_salts", F.explode(F.sequence(F.col("_b") * _BLOCK + 1, F.least(F.col("_need"), (F.col("_b") + 1) * _BLOCK))).alias("copy"))
     pick = draw(seed, *[F.col(a).cast("string") for a in names], F.col("copy").cast("string")) % F.col("_n") + 1
     draws = draws.select(*[F.col(a).alias(f"_d{i}") for i, a in enumerate(names)], "copy", pick.alias("_pick"), (F.col("copy") % F.col("_salts")).cast("int").alias("_salt"))
@@ -58,12 +60,12 @@ def balance(df: DataFrame, label: str = "lang", region: str | None = None, row_i
         return df.join(aims, same(df, columns, aims, names)).select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_at"))
 
     # a row's salts part before each join, however it is done, so that its copies don't stay together
-    parts = partitions_for(df.sparkSession)
     # ids alone are ranked and drawn; the rows are joined once, on their id
     keys = [f"_g{i}" for i in range(len(group))]
     numbered = salted(ranked(rows.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(row_id).alias("_id")), keys, [F.col("_id")], "_rank"), keys).repartition(parts, *keys, "_rank", "_at")
     on = (numbered["_rank"] == draws["_pick"]) & (numbered["_at"] == draws["_salt"]) & same(numbered, keys, draws, [f"_d{i}" for i in range(len(group))])
-    drawn = numbered.join(draws, on).select("_id", "copy", "_salt")
+    # Spark takes exploded rows for as few as what they come from, and would broadcast all draws through the driver
+    drawn = numbered.join(draws.hint("merge"), on).select("_id", "copy", "_salt")
     source = salted(rows, group).repartition(parts, row_id, "_at")
     extra = source.join(drawn, (source[row_id] == drawn["_id"]) & (source["_at"] == drawn["_salt"])).select(*rows.columns, "copy")
     return rows.withColumn("copy", F.lit(0).cast("long")).unionByName(extra)

@@ -270,3 +270,18 @@ def test_copies_of_one_row_are_made_by_many_tasks(spark):
     assert out.where("lang = 'rare'").select("copy").distinct().count() == 20_000
     salts = {r["s"] for r in out.where("lang = 'rare' and copy > 0").selectExpr("copy % 20 as s").distinct().collect()}
     assert salts == set(range(20))
+
+
+def test_draws_of_balance_are_not_broadcast(spark):
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    rows = spark.createDataFrame([(1, "rare", "t")] + [(10 + i, "many", "t") for i in range(3)], "row_id long, lang string, text string")
+    out = balance.balance(rows, mode="none", target=200_000)
+    joins = [p for p in nodes(out._jdf.queryExecution().sparkPlan()) if p.nodeName() == "BroadcastHashJoin"]
+    built = [(p.left() if p.buildSide().toString() == "BuildLeft" else p.right()).output().mkString(" ") for p in joins]
+    assert built and not any("copy#" in names for names in built)
+    counts = out.groupBy("lang").agg(F.count("*").alias("n"), F.count_distinct("copy").alias("d")).collect()
+    assert {r["lang"]: (r["n"], r["d"]) for r in counts} == {"rare": (200_000, 200_000), "many": (200_000, 199_998)}
